@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from corpusloom import fixed_values as fixed
-from corpusloom.functions.keys import _col, canonical_url
+from corpusloom.functions.keys import _col, canonical_url, let
 
 MARK = "\u0001"
 
@@ -32,11 +32,13 @@ def without_code(html: Column | str) -> Column:
 
 
 def decode_entities(text: Column | str) -> Column:
-    text = _col(text)
-    decoded = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
-    for name, character in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def decode(text: Column) -> Column:
+        decoded = F.when(F.contains(text, F.lit("&#")), _numeric_entities(text)).otherwise(text)
+        for name, character in ENTITIES.items():
+            decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
+        return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    return let(_col(text), decode)
 
 
 def _numeric_entities(text: Column) -> Column:
@@ -70,28 +72,41 @@ def elements(html: Column | str, selector: str) -> Column:
     """Inner HTML of every element that `tag`, `.class` or `#id` selects, in order; nested tags are balanced."""
     html = F.replace(F.coalesce(_col(html), F.lit("")), F.lit(MARK), F.lit(""))
     parts = F.split(F.regexp_replace(html, "(" + _opening(selector) + ")", MARK + "$1"), MARK)
-    found = F.size(parts) - 1
 
-    def from_part(i: Column) -> Column:
-        return _inner(F.array_join(F.slice(parts, i + 1, found), ""))
+    def from_each(parts: Column) -> Column:
+        found = F.size(parts) - 1
+        every = F.transform(
+            F.sequence(F.lit(1), F.greatest(found, F.lit(1))),
+            lambda i: _inner(F.array_join(F.slice(parts, i + 1, found), "")),
+        )
+        return F.when(found < 1, F.array().cast("array<string>")).otherwise(every)
 
-    every = F.transform(F.sequence(F.lit(1), F.greatest(found, F.lit(1))), from_part)
-    return F.when(found < 1, F.array().cast("array<string>")).otherwise(every)
+    return let(parts, from_each)
 
 
 def first_element(html: Column | str, selector: str) -> Column:
     """Inner HTML of the first selected element, null when there is none."""
     html = F.coalesce(_col(html), F.lit(""))
     rest = F.regexp_extract(html, r"(?s)(" + _opening(selector) + r".*)", 1)
-    return F.when(rest != "", _inner(rest))
+    return _inner(rest)
 
 
 def _inner(rest: Column) -> Column:
-    """`rest` starts with an opening tag; what lies between it and its closing tag."""
-    tag = F.lower(F.regexp_extract(rest, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
-    same_tag = F.concat(F.lit(r"(?i)(</?"), tag, F.lit(r"(?:[\s/][^>]*)?>)"))
-    pieces = F.split(rest, same_tag)
-    tags = F.regexp_extract_all(rest, same_tag, F.lit(1))
+    """`rest` starts with an opening tag; what lies between it and its closing tag, null for an empty `rest`."""
+
+    def between(row: Column) -> Column:
+        rest, tag = row["rest"], row["tag"]
+        same_tag = F.concat(F.lit(r"(?i)(</?"), tag, F.lit(r"(?:[\s/][^>]*)?>)"))
+        cut = F.struct(F.split(rest, same_tag).alias("pieces"), F.regexp_extract_all(rest, same_tag, F.lit(1)).alias("tags"))
+        return F.when(rest != "", let(cut, _balanced))
+
+    tag = lambda rest: F.lower(F.regexp_extract(rest, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+    return let(let(rest, lambda r: F.struct(r.alias("rest"), tag(r).alias("tag"))), between)
+
+
+def _balanced(cut: Column) -> Column:
+    """Text up to the tag that closes the first one, from the pieces between tags of one name and these tags."""
+    pieces, tags = cut["pieces"], cut["tags"]
     closing = F.aggregate(
         tags,
         F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen")),
@@ -100,11 +115,13 @@ def _inner(rest: Column) -> Column:
         ),
         lambda s: F.when(s.depth == 0, s.seen - 1).otherwise(s.seen),
     )
-    # Pieces between the outer tags, with the tags between them.
-    parts = F.zip_with(
-        F.slice(pieces, 2, closing), F.slice(tags, 2, F.greatest(closing - 1, F.lit(0))), lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))
+    inside = lambda n: F.array_join(
+        F.zip_with(
+            F.slice(pieces, 2, n), F.slice(tags, 2, F.greatest(n - 1, F.lit(0))), lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))
+        ),
+        "",
     )
-    return F.array_join(parts, "")
+    return let(closing, inside)
 
 
 def _opening(selector: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
@@ -35,3 +37,8 @@ def ids_in_url(url: Column | str, pattern: str, *names: str) -> Column:
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once per row, however often `body` uses it."""
+    return F.transform(F.array(value), body).getItem(0)

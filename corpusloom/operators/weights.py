@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusloom.functions.keys import _col
+from corpusloom.functions.keys import _col, let
 from corpusloom.functions.text import has_words, words
 from corpusloom.operators.joins import spread_join
 
@@ -16,27 +16,27 @@ def tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
 
 def run_lengths(terms: Column | str) -> Column:
     """Array of (term, tf) of an array of terms: sort it, then measure the runs. Needs no shuffle."""
-    ordered = F.sort_array(_col(terms))
-    starts = F.filter(
-        F.sequence(F.lit(1), F.size(ordered)),
-        lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2)),
-    )
-    runs = F.transform(
-        starts,
-        lambda start, i: F.struct(
+
+    def starts(ordered: Column) -> Column:
+        first = lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2))
+        return F.filter(F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))), first)
+
+    def runs(row: Column) -> Column:
+        ordered, begin = row["ordered"], row["begin"]
+        run = lambda start, i: F.struct(
             F.get(ordered, start - 1).alias("term"),
-            (F.coalesce(F.get(starts, i + 1), F.size(ordered) + 1) - start).cast("bigint").alias("tf"),
-        ),
-    )
-    return F.when(F.size(ordered) > 0, runs)
+            (F.coalesce(F.get(begin, i + 1), F.size(ordered) + 1) - start).cast("bigint").alias("tf"),
+        )
+        return F.transform(begin, run)
+
+    ordered = F.sort_array(_col(terms))
+    return let(let(ordered, lambda o: F.struct(o.alias("ordered"), starts(o).alias("begin"))), runs)
 
 
 def term_freq(docs: DataFrame, doc: str = "doc_id", terms: Column | None = None) -> DataFrame:
     """(doc, term, tf) for one row per document. A document never leaves its task."""
     terms = words("text") if terms is None else terms
-    # The two steps keep the sorted array from being computed once for each use.
-    sorted_docs = docs.select(doc, F.sort_array(terms).alias("_terms"))
-    return sorted_docs.select(doc, F.inline(run_lengths("_terms")))
+    return docs.select(doc, F.inline(run_lengths(terms)))
 
 
 def term_freq_of_rows(rows: DataFrame, doc: str, term: str = "term", weight: str | None = None) -> DataFrame:

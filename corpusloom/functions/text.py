@@ -15,10 +15,6 @@ def words(text: Column | str) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(_col(text), F.lit(""))), NOT_A_LETTER), "")
 
 
-def has_words(text: Column | str) -> Column:
-    return F.coalesce(_col(text).rlike(r"\p{L}"), F.lit(False))
-
-
 def map_characters(text: Column | str, pairs: dict[str, str]) -> Column:
     """Replace single characters, as from traditional to simplified script."""
     return F.translate(_col(text), "".join(pairs.keys()), "".join(pairs.values()))

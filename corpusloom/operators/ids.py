@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from corpusloom.session import cut
+
 
 def _numbered(rows: DataFrame, order: list[str], name: str, start: Column) -> DataFrame:
     """Number rows 1, 2, ... after `start` by (`_bucket`, order). The number of buckets is bounded by the caller."""
+    # The rows are read twice below, so what made them is done once and written.
+    rows = cut(rows)
     # At most as many rows as there are buckets reach this window and the broadcast.
     offsets = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).select(
         "_bucket",

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.operators.filters import all_equal, first_row
 from corpusloom.operators.ids import dense_ids
 from corpusloom.operators.joins import spread_join
+from corpusloom.session import cut
 
 
 def insert_absent(old: DataFrame, arrivals: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -102,6 +103,9 @@ def _apply(
             value = before
         return value.cast(types[name]).alias(name)
 
+    if id_name:
+        # One row per arriving key: far less than the arrivals, which are thus read once.
+        delta = cut(delta)
     rest = [c for c in old.columns if c not in (key, id_name)]
     front = [key] + ([id_name] if id_name else [])
     fresh = delta.join(old.select(key), key, "left_anti")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusloom.functions.keys import _col, let
-from corpusloom.functions.text import has_words, words
+from corpusloom.functions.text import words
 from corpusloom.operators.joins import spread_join
+from corpusloom.session import cut
 
 
 def tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -61,16 +62,23 @@ def doc_freq_of_tf(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def doc_count(docs: DataFrame, text: str = "text") -> Column:
-    """Number of documents that have a term, as a scalar subquery."""
-    return docs.filter(has_words(text)).agg(F.count("*")).scalar()
-
-
 def idf(df: DataFrame, documents: Column) -> DataFrame:
     """(term, df, idf) with idf = ln((m + 1) / (df + 1))."""
     return df.withColumn("idf", F.ln((documents + 1) / (F.col("df") + 1)))
 
 
+def corpus_idf(docs: DataFrame, terms: Column | None = None) -> DataFrame:
+    """`idf` of a table of documents in one pass over it, written for the several uses that follow.
+
+    Documents that have a term are counted along with the terms, as one more term that is null.
+    """
+    terms = words("text") if terms is None else terms
+    marked = let(F.array_distinct(terms), lambda t: F.when(F.size(t) > 0, F.concat(F.array(F.lit(None)), t)))
+    counted = cut(docs.select(F.explode(marked).alias("term")).groupBy("term").agg(F.count("*").alias("df")))
+    documents = counted.filter(F.col("term").isNull()).agg(F.max("df")).scalar()
+    return idf(counted.filter(F.col("term").isNotNull()), documents)
+
+
 def tf_idf(tf: DataFrame, idfs: DataFrame) -> DataFrame:
     """(doc, term, tf, w): the frequencies times idf. The document frequencies tell the hot terms."""
     counts = idfs.select("term", F.col("df").alias("n"))
@@ -80,8 +88,7 @@ def tf_idf(tf: DataFrame, idfs: DataFrame) -> DataFrame:
 
 def corpus_weights(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """TF-IDF weights of all documents of a table."""
-    idfs = idf(doc_freq(docs, words(text)), doc_count(docs, text))
-    return tf_idf(term_freq(docs, doc, words(text)), idfs)
+    return tf_idf(term_freq(docs, doc, words(text)), corpus_idf(docs, words(text)))
 
 
 def heaviest_terms(weights: DataFrame, n: int, doc: str = "doc_id") -> DataFrame:

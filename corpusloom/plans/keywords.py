@@ -8,7 +8,7 @@ from corpusloom.functions.keys import row_key
 from corpusloom.functions.text import parse_ids
 from corpusloom.operators.filters import present
 from corpusloom.operators.joins import spread_join
-from corpusloom.operators.weights import doc_freq, idf, keywords, term_freq, tf_idf
+from corpusloom.operators.weights import corpus_idf, keywords, term_freq, tf_idf
 from corpusloom.sources.tables import Corpus
 
 
@@ -21,7 +21,7 @@ def page_ids(done: DataFrame) -> DataFrame:
 def page_weights(done: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """(key, term, tf, w) with term ids as terms. idf is taken from all pages, weights for those in `only(key)` or all."""
     pages = page_ids(done)
-    idfs = idf(doc_freq(pages, F.col("ids")), pages.agg(F.count("*")).scalar())
+    idfs = corpus_idf(pages, F.col("ids"))
     wanted = pages if only is None else pages.join(only.select("key").distinct(), "key", "left_semi")
     return tf_idf(term_freq(wanted, "key", F.col("ids")), idfs)
 

@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, tuple[Query, str | None]]:
-    from corpusloom.queries import terms
+    from corpusloom.queries import classes, lexicons, pages, state, terms
 
     found: dict[str, tuple[Query, str | None]] = {}
-    for module in (terms,):
+    for module in (terms, pages, state, lexicons, classes):
         found.update(module.QUERIES)
     return found

@@ -12,10 +12,13 @@ from corpusloom.operators.joins import spread_join
 from corpusloom.operators.upserts import ids_of, upsert_count
 from corpusloom.plans.ingest import collected_ids
 from corpusloom.sources.tables import read_table, sql_rows
-from corpusloom.session import shared_dir
+from corpusloom.session import cut, shared_dir
 from corpusloom.streaming import counters
 
-URL = F.concat(F.lit("http://ex/"), F.col("doc_id"))
+
+def doc_url():
+    return F.concat(F.lit("http://ex/"), F.col("doc_id"))
+
 
 # SQL for the pieces that several queries share.
 TOKENS = r"""tokens AS (SELECT doc_id, unnest(range(len(ws))) AS pos, unnest(ws) AS term
@@ -63,8 +66,7 @@ def term_presence(spark, folder):
 
 
 def doc_freq_idf(spark, folder):
-    docs = documents(spark, folder)
-    return w.idf(w.doc_freq(docs), w.doc_count(docs)).withColumn("idf", F.round("idf", 6))
+    return w.corpus_idf(documents(spark, folder)).withColumn("idf", F.round("idf", 6))
 
 
 def tfidf(spark, folder):
@@ -84,8 +86,8 @@ def top_terms_200(spark, folder):
 
 def url_keywords(spark, folder):
     """Keywords of the page whose key is the smallest; weights against the whole corpus."""
-    docs = documents(spark, folder).withColumn("key", row_key(URL)).select("key", "text")
-    idfs = w.idf(w.doc_freq(docs), w.doc_count(docs))
+    docs = documents(spark, folder).withColumn("key", row_key(doc_url())).select("key", "text")
+    idfs = w.corpus_idf(docs)
     page = docs.filter(F.col("key") == docs.agg(F.min("key")).scalar())
     own = w.keywords(w.tf_idf(w.term_freq(page, "key"), idfs), 20, "key")
     return own.select("key", "rank", "term", F.round("w", 6).alias("w"))
@@ -106,7 +108,7 @@ def tag_ids(spark, folder):
 
 def tag_index(spark, folder):
     rows = ids_of(tagged(spark, folder), tag_ids(spark, folder), "tag", "tagid", "tagcount")
-    return tag_ops.tag_index(rows.withColumn("url", URL), "tagid", "url")
+    return tag_ops.tag_index(rows.withColumn("url", doc_url()), "tagid", "url")
 
 
 def term_ids(spark, folder):
@@ -122,11 +124,10 @@ def doc_term_ids(spark, folder):
 
 def id_terms(spark, folder):
     """Terms of the ten best keywords looked up by id, as the keyword job stores ids."""
-    docs = documents(spark, folder)
-    best = w.keywords(w.corpus_weights(docs), 10)
-    numbered = ids_of(best, term_ids(spark, folder), "term", "termid").select("doc_id", "rank", "termid")
-    names = term_ids(spark, folder).select("termid", "term")
-    return spread_join(numbered, names, "termid").select("doc_id", "rank", "termid", "term")
+    best = cut(w.keywords(w.corpus_weights(documents(spark, folder)), 10))
+    table = term_ids(spark, folder)
+    numbered = ids_of(best, table, "term", "termid").select("doc_id", "rank", "termid")
+    return spread_join(numbered, table.select("termid", "term"), "termid").select("doc_id", "rank", "termid", "term")
 
 
 def stream_term_counts(spark, folder):

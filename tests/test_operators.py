@@ -52,7 +52,7 @@ def test_idf_equals_ml(spark, docs):
     counter = CountVectorizer(inputCol="words", outputCol="tf").fit(split)
     model = IDF(inputCol="tf", outputCol="w").fit(counter.transform(split))
     ml = dict(zip(counter.vocabulary, model.idf.toArray()))
-    ours = {r.term: r.idf for r in weights.idf(weights.doc_freq(docs), weights.doc_count(docs)).collect()}
+    ours = {r.term: r.idf for r in weights.corpus_idf(docs).collect()}
     assert ours == pytest.approx(ml, abs=1e-15)
 
 

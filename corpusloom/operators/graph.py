@@ -39,7 +39,8 @@ def settle_links(links: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFr
     A done edge is keyed by its source and the target after the redirect, and shows the URL as it was linked.
     """
     known = stored.select(F.col("url").alias("tourl"), "target").dropDuplicates(["tourl"])
-    met = spread_join(links, known, "tourl", "left")
+    # Links are read twice by the join, and its result once for each side of the split.
+    met = cut(spread_join(cut(links), known, "tourl", "left"))
     done = met.filter(F.col("target").isNotNull()).select(
         pair_key("fromurl", "target").alias("key"), "fromurl", "tourl"
     )

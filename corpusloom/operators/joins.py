@@ -20,7 +20,8 @@ def spread_join(
     A key is hot when it holds more than one `slices`-th of all rows, so there are fewer than `slices` hot keys
     and that list is safe to broadcast whatever the data. Facts of a hot key are spread over slices of at most that
     size by a hash of the row (the same on a retry) and the dimension row is copied to each slice, fewer than
-    2 * `slices` copies in all. `counts(key, n)` gives the rows per key where the caller knows them already.
+    2 * `slices` copies in all. `counts(key, n)` gives the rows per key where the caller knows them already; otherwise
+    they are counted, so `facts` is read twice and should then be a table or have been cut.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")

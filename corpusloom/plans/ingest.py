@@ -46,7 +46,8 @@ def ingest(
     work = todo.select("url").unionByName(links.select(F.col("tourl").alias("url"))).distinct()
     if redirects is None:
         redirects = corpus.spark.createDataFrame([], "url string, target string")
-    found = resolve_redirects(pages.join(work, "url", "left_semi"), redirects)
+    # Redirects are looked up for bare URLs, so the pages themselves are moved for one join only.
+    found = pages.join(resolve_redirects(work, redirects), "url")
     read = read_pages(found, rules, ["url", "target", "html"]).withColumn("key", row_key("target"))
     # Everything below starts from this table, so pages are parsed once.
     read = corpus.write("parsed", read)
@@ -54,9 +55,9 @@ def ingest(
     fresh = first_row(
         has_content(read).join(stored.select("key"), "key", "left_anti").select("key", "url", "target"), "key", "url"
     )
-    new = read.join(fresh.select("key", "url"), ["key", "url"], "left_semi").withColumn(
-        "text", weighted_text(title="title", tags="tags", keyword="keyword", content="content")
-    )
+    # By key alone, as all later joins of pages are, so that they find the pages in place.
+    new = read.join(fresh.select("key", F.col("url").alias("_first")), "key").filter("url = _first").drop("_first")
+    new = new.withColumn("text", weighted_text(title="title", tags="tags", keyword="keyword", content="content"))
 
     tagged = new.select("key", "target", F.posexplode(split_tags("tags")).alias("pos", "tag"))
     place = F.struct("key", "pos").alias("_place")

@@ -9,6 +9,7 @@ from corpusloom.functions.text import parse_ids
 from corpusloom.operators.filters import present
 from corpusloom.operators.joins import spread_join
 from corpusloom.operators.weights import corpus_idf, keywords, term_freq, tf_idf
+from corpusloom.session import cut
 from corpusloom.sources.tables import Corpus
 
 
@@ -30,6 +31,7 @@ def corpus_keywords(corpus: Corpus, n: int, url: str | None = None) -> DataFrame
     """(key, rank, term, w): the `n` best keywords of every stored page, or of one."""
     done = corpus.read("done")
     only = None if url is None else done.filter(F.col("key") == row_key(F.lit(url)))
-    best = keywords(page_weights(done, only), n, "key").withColumnRenamed("term", "termid")
+    # The join reads its rows twice; these are few, what makes them is much.
+    best = cut(keywords(page_weights(done, only), n, "key").withColumnRenamed("term", "termid"))
     named = spread_join(best, corpus.read("terms").select("termid", "term"), "termid")
     return named.select("key", "rank", "term", "w")

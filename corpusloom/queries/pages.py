@@ -11,16 +11,18 @@ from corpusloom.operators import graph, weights as w
 from corpusloom.operators.filters import first_row
 from corpusloom.operators.pages import PageRules, has_content, read_pages
 from corpusloom.operators.upserts import union_by_key
+from corpusloom.queries.terms import documents
 from corpusloom.session import cut
 from corpusloom.sources.seeds import seed_urls as seeds_of
-from corpusloom.sources.tables import read_table
+from corpusloom.sources.tables import dealt, read_table
 
 # The pages keep their text in <article> and link within the site.
 RULES = PageRules(content=["article"], link_prefixes=["/"])
 
 
 def raw(spark, folder, *columns: str) -> DataFrame:
-    return read_table(spark, folder, "pages", list(columns))
+    pages = read_table(spark, folder, "pages", list(columns))
+    return dealt(pages) if "html" in columns else pages
 
 
 def parsed(spark, folder) -> DataFrame:
@@ -130,7 +132,7 @@ def md5_keys(spark, folder):
 
 
 def padded_terms(spark, folder):
-    terms = w.doc_freq(read_table(spark, folder, "documents", ["text"]))
+    terms = w.doc_freq(documents(spark, folder))
     return terms.select("term", pad_bytes("term", 12, "*", True).alias("left_pad"), pad_bytes("term", 12, "*", False).alias("right_pad"))
 
 

@@ -11,7 +11,7 @@ from corpusloom.operators.ids import dense_ids
 from corpusloom.operators.joins import spread_join
 from corpusloom.operators.upserts import ids_of, upsert_count
 from corpusloom.plans.ingest import collected_ids
-from corpusloom.sources.tables import read_table, sql_rows
+from corpusloom.sources.tables import dealt, read_table, sql_rows
 from corpusloom.session import cut, shared_dir
 from corpusloom.streaming import counters
 
@@ -34,7 +34,8 @@ BUCKET = "substr(md5({0}), 1, 3), {0}"
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return read_table(spark, folder, "documents", ["doc_id", *(columns or ["text"])])
+    docs = read_table(spark, folder, "documents", ["doc_id", *(columns or ["text"])])
+    return dealt(docs) if "text" in docs.columns else docs
 
 
 def tagged(spark: SparkSession, folder: str) -> DataFrame:

@@ -36,6 +36,12 @@ def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] |
     return table.select(*columns) if columns else table
 
 
+def dealt(table: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the files have fewer splits than there are cores; a large input stays as it is."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def sql_rows(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     """Rows of a SQL text over the named tables, with their types."""
     return spark.sql(text, **tables)

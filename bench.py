@@ -10,8 +10,8 @@ from corpusloom.queries import registry
 from corpusloom.session import session
 
 HEADLINE = [
-    "keywords_top10", "term_freq", "doc_freq_idf", "corpus_term_counts", "doc_term_ids", "page_text", "links_done",
-    "upsert_count", "incremental_term_counts", "lexicon_active", "segment_dict", "nb_model", "nb_top2", "stream_term_counts",
+    "keywords_top10", "corpus_term_counts", "doc_term_ids", "page_text", "upsert_count", "segment_dict", "nb_model", "nb_top2",
+    "stream_term_counts",
 ]
 
 

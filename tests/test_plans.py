@@ -47,10 +47,10 @@ def test_last_row_combines_before_the_shuffle(spark):
 
 
 def test_no_cross_joins(spark):
-    docs = documents(spark).withColumn("tag", F.lit("t"))
+    docs = read_table(spark, FOLDER, "documents", ["doc_id", "source"]).withColumnRenamed("source", "tag")
     counts = tags.tag_counts(docs)
     chosen = tags.tag_slice(counts, 5, 1, 0)
-    roots = spark.createDataFrame([("t", "0")], "tag string, root_tag string")
+    roots = spark.createDataFrame([("src1", "0")], "tag string, root_tag string")
     for df in (weights.corpus_weights(documents(spark)), tags.labelled_docs(docs, chosen, roots)):
         text = plan(df)
         assert "CartesianProduct" not in text and "NestedLoop" not in text

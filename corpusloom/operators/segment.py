@@ -119,22 +119,22 @@ def _with_copied_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method:
 def _with_joined_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, longest: int, total: float) -> DataFrame:
     starts = runs.select(doc, "run", "letters", F.explode(F.sequence(F.lit(0), F.length("letters") - 1)).alias("start"))
     ends = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("letters") - F.col("start")))
-    candidates = starts.select(doc, "run", "letters", "start", F.explode(ends).alias("size")).withColumn(
-        "term", F.substr("letters", F.col("start") + 1, F.col("size"))
+    # Only the candidate word travels, not the run it is part of.
+    candidates = starts.select(doc, "run", "letters", "start", F.explode(ends).alias("size")).select(
+        doc, "run", "start", "size", F.substr("letters", F.col("start") + 1, F.col("size")).alias("term")
     )
-    met = spread_join(candidates, lexicon.select("term", "termtype", "freq"), "term", "left")
+    met = spread_join(candidates, lexicon.select("term", "termtype", "freq"), "term")
     word = F.struct("start", (F.col("start") + F.col("size")).alias("end"), F.col("freq").cast("double").alias("freq"), "termtype")
     # One group is one run of letters: its known words, at most `longest` per letter.
-    found = met.groupBy(doc, "run", "letters").agg(
-        F.collect_list(F.when(F.col("freq").isNotNull(), word)).alias("found")
-    )
+    known = met.groupBy(doc, "run").agg(F.collect_list(word).alias("found"))
+    found = runs.join(known, [doc, "run"], "left")
     cutter = _cutter(method, longest, total)
 
     def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             terms, classes = [], []
             for letters, found_words in zip(batch["letters"], batch["found"]):
-                words = {(w["start"], w["end"]): (w["freq"], w["termtype"]) for w in found_words}
+                words = {(w["start"], w["end"]): (w["freq"], w["termtype"]) for w in _some(found_words)}
                 cuts = cutter(letters, lambda i, j: words.get((i, j), (None,))[0])
                 terms.append([letters[i:j] for i, j in cuts])
                 classes.append([words.get(c, (None, None))[1] for c in cuts])
@@ -143,6 +143,11 @@ def _with_joined_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method:
     return found.mapInPandas(cut_batches, _schema(runs, doc))
 
 
+def _some(found_words) -> list:
+    """A run without a known word has no list."""
+    return [] if found_words is None else list(found_words)
+
+
 def _schema(runs: DataFrame, doc: str) -> str:
     return f"`{doc}` {dict(runs.dtypes)[doc]}, run int, terms array<string>, classes array<string>"
 

@@ -43,5 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to reliable storage and go on from there, so that later steps neither redo nor lose it."""
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -34,13 +34,14 @@ def dense_ids(keys: DataFrame, key: str, name: str = "id", start: Column | int =
     return _numbered(keys.withColumn("_bucket", F.substring(F.md5(F.col(key).cast("string")), 1, digits)), [key], name, start)
 
 
-def positions(rows: DataFrame, number: str, name: str = "position", buckets: int = 4096) -> DataFrame:
-    """1-based position of each row in the order of the unique integer column `number`."""
-    ends = rows.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high"))).scalar()
-    with_ends = rows.withColumn("_ends", ends)
-    width = F.expr(f"(_ends.high - _ends.low) div {buckets} + 1")
-    bucketed = with_ends.withColumn("_bucket", F.floor((F.col(number) - F.col("_ends.low")) / width)).drop("_ends")
-    return _numbered(bucketed, [number], name, F.lit(0))
+def positions(rows: DataFrame, number: str, name: str = "position", buckets: int | None = None) -> DataFrame:
+    """1-based position of each row in the order of the unique column `number`, whose values may lie in any clusters.
+
+    The buckets are ranges of about equally many rows; which bucket a row is in is written with it.
+    """
+    buckets = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(buckets, number).withColumn("_bucket", F.spark_partition_id())
+    return _numbered(ranged, [number], name, F.lit(0))
 
 
 def page_by_position(rows: DataFrame, number: str, page: int, size: int) -> DataFrame:

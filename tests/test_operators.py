@@ -174,6 +174,9 @@ def test_pages_by_position(spark):
     with pytest.raises(ValueError):
         ids.page_by_position(df, "termid", 0, 7)
     assert ids.page_by_position(df, "termid", 9, 7).count() == 0
+    clustered = df.select(F.when(F.col("termid") < 2000, F.col("termid")).otherwise(F.col("termid") + 10**12).alias("n"))
+    numbered = ids.positions(clustered, "n", buckets=7).orderBy("n").collect()
+    assert [r.position for r in numbered] == list(range(1, 51))
     assert ids.page_by_position(df.limit(0), "termid", 1, 7).count() == 0
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +32,21 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(df: DataFrame) -> DataFrame:
+    """`df`, once the workers of its session can import this package, which need not lie on their machines."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_corpusloom_shipped", False):
+        package = Path(__file__).resolve().parent.parent
+        archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip"))
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        # The driver serves it to all workers; nothing else reads the file.
+        context.addPyFile(archive)
+        context._corpusloom_shipped = True
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """Only A-Z change."""
     return F.translate(text, UPPER, LOWER)
@@ -146,7 +165,7 @@ def key_filter(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST
             })
 
     schema = "block bigint, bits binary"
-    parts = keys.select(column).mapInArrow(set_bits, schema).repartition("block").mapInArrow(merged, schema)
+    parts = ship(keys).select(column).mapInArrow(set_bits, schema).repartition("block").mapInArrow(merged, schema)
     bits = np.zeros(size // 8, np.uint8)
     for row in parts.toLocalIterator():
         at = row["block"] * (BLOCK_BITS // 8)

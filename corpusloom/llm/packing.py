@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from corpusloom.llm.common import full_text, row_batches, staged
+from corpusloom.llm.common import full_text, row_batches, ship, staged
 
 PIECES = "row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -120,7 +120,7 @@ def pieces(documents: DataFrame, tokenizer: str, width: int, step: int, end_id:
             columns = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["row", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return documents.select(F.col(row).cast("bigint").alias("row"), full_text(text).alias("text")).mapInArrow(cut, PIECES)
+    return ship(documents).select(F.col(row).cast("bigint").alias("row"), full_text(text).alias("text")).mapInArrow(cut, PIECES)
 
 
 def _knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -147,16 +147,19 @@ def _knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float,
 
 def _fullest(left: np.ndarray, sizes: np.ndarray, room: int) -> np.ndarray:
     """A pattern of pieces that are left: the largest one, then what fills the rest of the room best, large ones first."""
-    there = np.flatnonzero(left > 1e-9)
+    free = np.ceil(left - 1e-9)
     pattern = np.zeros(len(sizes))
-    pattern[there[-1]] = 1
-    space = room - int(sizes[there[-1]])
-    fitting = there[sizes[there] <= space]
-    if len(fitting):
+    largest = np.flatnonzero(free > 0)[-1]
+    pattern[largest] = 1
+    space = room - int(sizes[largest])
+    while len(fitting := np.flatnonzero((free - pattern > 0) & (sizes <= space))):
         some = sizes[fitting]
         _, more = _knapsack(some * (1 + some / (8.0 * room * room)), some, space)
+        # The price is for any number of a class; no more are taken than there are, and the room left is filled again.
+        more = np.minimum(more, (free - pattern)[fitting])
         pattern[fitting] += more
-    return np.minimum(pattern, np.ceil(left))
+        space -= int(more @ some)
+    return pattern
 
 
 def pattern_plan(demand: dict[int, int], room: int, gap: float = 0.002, steps: int = 1_500) -> list[tuple[dict[int, int], int]]:

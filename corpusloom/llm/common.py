@@ -94,19 +94,19 @@ def runs_of(hashes: np.ndarray, width: int, factor: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    total, length, power = np.zeros(n, np.uint64), 0, np.uint64(factor)
+    total, length, power = np.zeros(n, np.uint64), 0, factor
     block, block_length = hashes, 1
     rest = width
     while rest:
         if rest & 1:
             # `length` words are in `total` already; the block that follows them is added.
-            total = total * power + block[length:length + n]
+            total = total * np.uint64(power) + block[length:length + n]
             length += block_length
         rest >>= 1
         if rest:
-            block = block[:-block_length] * power + block[block_length:]
+            block = block[:-block_length] * np.uint64(power) + block[block_length:]
             block_length *= 2
-            power = power * power
+            power = power * power % (1 << 64)
     return mixed(total)
 
 

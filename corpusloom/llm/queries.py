@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, packing, secrets, urls
+from corpusloom.llm import decontaminate, neardup, packing, repeats, secrets, urls
 from corpusloom.sources.tables import read_table
 
 #: The file of the tokenizer in the folder of public tokenizers.
@@ -58,6 +58,48 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 """
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).withColumnRenamed("row", "doc_id")
+
+
+OP6_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(array_to_string(w, ' '))]
+    ELSE list_distinct([hash(array_to_string(w[i:i + 4], ' ')) for i in range(1, len(w) - 3)]) END AS s FROM docs),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_id USING (doc_id)
+"""
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+starts AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+again AS (SELECT h FROM starts GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM starts JOIN again USING (h)),
+removed AS (SELECT rid, count(*) AS n FROM gone GROUP BY rid),
+words AS (SELECT rid, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs WHERE rid IN (SELECT rid FROM removed)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(t, '') END) AS kept_sha256
+FROM docs LEFT JOIN removed USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -113,6 +155,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op5_secret_ledger": (op5_secret_ledger, OP5_SQL),
+    "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),
+    "op7_repeated_passages": (op7_repeated_passages, OP7_SQL),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
 }

@@ -66,7 +66,7 @@ def row_batches(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[
 class WordHashes(dict):
     """64-bit hashes of words (bytes), each computed once; emptied when it holds `most` words."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, seed: int = 0, most: int = 200_000):
         super().__init__()
         self.seed, self.most = seed, most
 
@@ -122,8 +122,8 @@ class KeyFilter:
         return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
-def key_filter(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST_BITS) -> KeyFilter:
-    """The filter of the well-mixed long `column`. Executors make it in blocks of 8 KB; at most `most` bits reach the driver."""
+def key_filter(keys: DataFrame, column: str, mix: bool = False, per_key: int = 24, most: int = MOST_BITS) -> KeyFilter:
+    """The filter of the well-mixed long `column`, or of its values after `mixed`. Executors make it in blocks of 8 KB; at most `most` bits reach the driver."""
     count = keys.count()
     size = BLOCK_BITS
     while size < min(most, per_key * max(count, 1)):
@@ -134,7 +134,8 @@ def key_filter(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST
     def set_bits(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            slots = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) >> np.uint64(shift))
+            values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            slots = np.unique((mixed(values) if mix else values) >> np.uint64(shift))
             blocks = (slots >> np.uint64(block_shift)).astype(np.int64)
             within = (slots & np.uint64(BLOCK_BITS - 1)).astype(np.int64)
             starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else []

@@ -159,25 +159,25 @@ def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text
         .agg(F.min("row").alias("class"), F.first("registers").alias("registers"))
     )
 
-    def banded(batches):
-        for batch in row_batches(batches, 2_000):
-            registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
-            values = band_values(registers).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), pa.array(values.ravel())], ["class", "band"])
+    def bands_of(kept=None) -> DataFrame:
+        def banded(batches):
+            for batch in row_batches(batches, 2_000):
+                registers = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                values, owners = band_values(registers).ravel(), np.repeat(batch.column(0).to_numpy(), BANDS)
+                if kept is not None:
+                    mask = kept.passes(values)
+                    values, owners = values[mask], owners[mask]
+                yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(values.view(np.int64))], ["class", "band"])
+
+        return classes.select("class", "registers").mapInArrow(banded, "class bigint, band bigint")
 
-    bands = classes.select("class", "registers").mapInArrow(banded, "class bigint, band bigint")
     # The least class of a band's bucket stands for all of it, so a bucket makes as many edges as it has members.
-    heads = staged(bands.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("head")).filter("n > 1").select("band", "head"))
+    heads = staged(bands_of().groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("head")).filter("n > 1").select("band", "head"))
     shared = key_filter(heads, "band")
 
-    def in_shared(batches):
-        for batch in batches:
-            mask = shared.passes(batch.column(1).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(mask))
-
-    edges = bands.mapInArrow(in_shared, "class bigint, band bigint").join(heads, "band").filter("class != head").select(F.col("class").alias("a"), F.col("head").alias("b"))
+    edges = bands_of(shared).join(heads, "band").filter("class != head").select(F.col("class").alias("a"), F.col("head").alias("b"))
     clusters = staged(components(edges))
-    candidates = key_filter(_mixed_ids(clusters), "node")
+    candidates = key_filter(clusters, "node", mix=True)
 
     def full_sets(batches):
         hashes = WordHashes()
@@ -213,11 +213,3 @@ def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text
     found = sketches.select("row", "n", "s1", "s2").join(known, ["n", "s1", "s2"], "left")
     component = F.when(F.col("row").isNull(), F.lit(None)).otherwise(F.coalesce("component", "row"))
     return found.select("row", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("row").isNull() | (F.col("row") == component)).alias("kept"))
-
-
-def _mixed_ids(clusters: DataFrame) -> DataFrame:
-    def mix(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(mixed(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["node"])
-
-    return clusters.select("node").mapInArrow(mix, "node bigint")

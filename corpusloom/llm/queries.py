@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, neardup, packing, repeats, secrets, urls
+from corpusloom.llm import decontaminate, fingerprints, licenses, neardup, packing, repeats, secrets, toxicity, urls
 from corpusloom.sources.tables import read_table
 
 #: The file of the tokenizer in the folder of public tokenizers.
@@ -22,6 +22,38 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("row", "doc_id")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    found = fingerprints.fingerprints_with_next(documents, fingerprints.lexicon(documents))
+    shown = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return found.select(F.col("row").alias("doc_id"), "n_chars", "edited_sha256", *shown, "near_edited", "near_next")
+
+
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = spark.createDataFrame(licenses.KNOWN, "license_id string, text string")
+    found = licenses.license_hits(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), known)
+    return found.select("doc_id", "canonical_sha256", "whole_license", F.array_join("license_lines", ",").alias("license_lines"), "n_license_lines")
+
+
+def _canonical_sql(text: str) -> str:
+    plain = f"regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', '', 'g')"
+    for one, other in licenses.SPELLINGS:
+        plain = f"replace({plain}, '{one}', '{other}')"
+    return f"trim(regexp_replace({plain}, '{licenses.PUNCTUATION}', ' ', 'g'))"
+
+
+OP4_SQL = f"""
+WITH known AS (SELECT sha256({_canonical_sql('t')}) AS digest, id FROM (VALUES {', '.join(f"('{i}', '{t}')" for i, t in licenses.KNOWN)}) k(id, t)),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs),
+hits AS (SELECT rid, id FROM (SELECT rid, sha256({_canonical_sql('line')}) AS digest FROM lines) JOIN known USING (digest)),
+per AS (SELECT rid, count(*) AS n, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM hits GROUP BY rid),
+whole AS (SELECT rid, doc_id, sha256({_canonical_sql('text')}) AS canonical_sha256 FROM docs)
+SELECT doc_id, canonical_sha256, id AS whole_license, coalesce(ids, '') AS license_lines, coalesce(n, 0) AS n_license_lines
+FROM whole LEFT JOIN known ON digest = canonical_sha256 LEFT JOIN per USING (rid)
+"""
+
+
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     ledger = secrets.scan(documents, "doc_id")
@@ -152,11 +184,20 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN (SELECT * FROM fit WHERE best = 1) USING (rid)
 """
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    rated = toxicity.scored(documents, toxicity.fitted(documents, read_table(spark, sf_dir, "labels")))
+    return rated.select("doc_id", toxicity.held_out().alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
+    "op2_fingerprints": (op2_fingerprints, None),
+    "op4_license_digests": (op4_license_digests, OP4_SQL),
     "op5_secret_ledger": (op5_secret_ledger, OP5_SQL),
     "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),
     "op7_repeated_passages": (op7_repeated_passages, OP7_SQL),
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
+    "op10_toxicity": (op10_toxicity, None),
 }

@@ -63,7 +63,7 @@ def window_places(documents: DataFrame, row: str = "doc_id", text: str = "text",
     ship(documents)
     keyed = _keyed(documents, row, text)
     first = staged(keyed.groupBy("k1", "k2").agg(F.min("rowkey").alias("rowkey")).select("rowkey"))
-    rows = key_filter(_mixed_column(first, "rowkey"), "rowkey")
+    rows = key_filter(first, "rowkey", mix=True)
 
     def anchors(batches):
         hashes, found = WordHashes(), []
@@ -106,17 +106,6 @@ def window_places(documents: DataFrame, row: str = "doc_id", text: str = "text",
     return keyed.mapInArrow(places, "h1 bigint, h2 int, k1 bigint, k2 int, pos int")
 
 
-def _mixed_column(keys: DataFrame, column: str) -> DataFrame:
-    """The column with its bits mixed as `mixed` does."""
-
-    def mix(batches):
-        for batch in batches:
-            values = mixed(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(values)], [column])
-
-    return ship(keys).select(column).mapInArrow(mix, f"{column} bigint")
-
-
 def repeated_spans(documents: DataFrame, row: str = "doc_id", text: str = "text", window: int = 35) -> DataFrame:
     """(k1, k2, spans): word spans [start, end) of each different text covered by windows that also start elsewhere; written.
 
@@ -171,44 +160,51 @@ def without_repeats(documents: DataFrame, row: str = "doc_id", text: str = "text
     row; repeated rows count as copies; without documents there are no rows.
     """
     spans = repeated_spans(documents, row, text, window)
-    keys = key_filter(_mixed_column(spans, "k1"), "k1")
-
-    @F.pandas_udf("boolean")
-    def may_repeat(k1):
-        import pandas as pd
-
-        return pd.Series(keys.passes(mixed(k1.to_numpy().astype(np.int64).view(np.uint64))))
+    keys = key_filter(spans, "k1", mix=True)
 
     k1, k2 = _key(full_text(text))
-    keyed = documents.select(*[F.col(c) for c in documents.columns], k1.alias("_k1"), k2.alias("_k2")).withColumn("_may", may_repeat("_k1"))
-    none = F.lit(None)
-    # Texts without repeats stay where they are; only the others are dealt out to meet their spans.
-    others = keyed.filter("not _may").select(*documents.columns, none.cast("array<int>").alias("_spans"), F.lit(False).alias("_whole"))
-    met = keyed.filter("_may").join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
-    met = met.select(*documents.columns, F.col("spans").alias("_spans"), F.coalesce("whole", F.lit(False)).alias("_whole"))
-    columns = documents.columns
+    keyed = documents.select(*documents.columns, k1.alias("_k1"), k2.alias("_k2"))
+    columns, width = documents.columns, len(documents.columns)
     place = columns.index(text)
 
-    def cut(batches):
+    def passing(batch):
+        return keys.passes(mixed(batch.column(width).to_numpy().view(np.uint64)))
+
+    def cut(batch, spans_of, wholes):
+        total, removed, kept = [], [], []
+        for one, spans, whole in zip(batch.column(place).to_pylist(), spans_of, wholes):
+            words = ("" if one is None else str(one)).encode().split()
+            total.append(len(words))
+            if whole and len(words) >= window:
+                left = []
+            elif spans:
+                edges = [0, *spans, len(words)]
+                left = [w for start, end in zip(edges[::2], edges[1::2]) for w in words[start:end]]
+            else:
+                left = words
+            removed.append(len(words) - len(left))
+            kept.append(b" ".join(left).decode())
+        results = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+        return pa.RecordBatch.from_arrays([*batch.columns[:width], *results], [*columns, "n_words", "n_removed", "kept_text"])
+
+    def cut_alone(batches):
+        for batch in row_batches(batches):
+            rest = batch.filter(pa.array(~passing(batch)))
+            yield cut(rest, [None] * rest.num_rows, [False] * rest.num_rows)
+
+    def to_meet(batches):
         for batch in row_batches(batches):
-            total, removed, kept = [], [], []
-            for one, spans_of, whole in zip(batch.column(place).to_pylist(), batch.column(len(columns)).to_pylist(), batch.column(len(columns) + 1).to_pylist()):
-                words = ("" if one is None else str(one)).encode().split()
-                total.append(len(words))
-                if whole and len(words) >= window:
-                    left = []
-                elif spans_of:
-                    edges = [0, *spans_of, len(words)]
-                    left = [w for start, end in zip(edges[::2], edges[1::2]) for w in words[start:end]]
-                else:
-                    left = words
-                removed.append(len(words) - len(left))
-                kept.append(b" ".join(left).decode())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(columns)], pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                [*columns, "n_words", "n_removed", "kept_text"],
-            )
+            yield batch.filter(pa.array(passing(batch)))
+
+    def cut_met(batches):
+        for batch in row_batches(batches):
+            yield cut(batch, batch.column(width).to_pylist(), batch.column(width + 1).to_pylist())
 
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     schema = T.StructType([*documents.schema.fields, *added])
-    return others.unionByName(met).mapInArrow(cut, schema)
+    # Texts without repeats stay where they are; only the others are dealt out to meet their spans.
+    alone = keyed.mapInArrow(cut_alone, schema)
+    met = keyed.mapInArrow(to_meet, keyed.schema)
+    met = met.join(spans, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
+    met = met.select(*columns, "spans", F.coalesce("whole", F.lit(False)).alias("whole")).mapInArrow(cut_met, schema)
+    return alone.unionByName(met)

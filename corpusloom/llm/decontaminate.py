@@ -61,7 +61,8 @@ def _quick_test(tokens: DataFrame) -> tuple[Column, int] | None:
     # At most MOST_BITS / 64 rows.
     held = {row["block"]: row["bits"] for row in longs.collect()}
     text = ",".join(str(held.get(i, 0)) for i in range(size // 64))
-    return F.transform(F.split(F.lit(text), ","), lambda x: x.cast("bigint")), size
+    # Without a lambda it is a constant, worked out once and not for every word.
+    return F.split(F.lit(text), ",").cast("array<bigint>"), size
 
 
 def window_hits(documents: DataFrame, windows: DataFrame, width: int, text: str = "text") -> DataFrame:
@@ -75,7 +76,8 @@ def window_hits(documents: DataFrame, windows: DataFrame, width: int, text: str
     slot = lambda w: F.pmod(F.xxhash64(w), F.lit(size))
     may = lambda w: F.getbit(F.element_at(bits, (slot(w) / 64).cast("int") + 1), (slot(w) % 64).cast("int")) == 1
     texts = documents.select(full_text(text).alias("_text"))
-    worded = texts.select(F.sha2("_text", 256).alias("_digest"), words_of(F.col("_text")).alias("_words"))
+    # Exploding the one array of words makes it a column that is not worked out again at each use.
+    worded = texts.select(F.sha2("_text", 256).alias("_digest"), F.explode(F.array(words_of(F.col("_text")))).alias("_words"))
     places = F.filter(F.transform("_words", lambda w, i: F.when(may(w), i)), lambda i: i.isNotNull())
     # Only the words around a place travel on: the item-sized window lies within `width` - 1 words of it.
     around = F.transform(places, lambda i: F.struct(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, licenses, neardup, packing, repeats, secrets, toxicity, urls
+from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, repeats, secrets, toxicity, urls
 from corpusloom.sources.tables import read_table
 
 #: The file of the tokenizer in the folder of public tokenizers.
@@ -29,6 +29,25 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row").alias("doc_id"), "n_chars", "edited_sha256", *shown, "near_edited", "near_next")
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lmscore.backoff_scores(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return found.select(F.col("row").alias("doc_id"), "n_words", F.round("log_score", 3).alias("log_score"))
+
+
+OP3_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w FROM documents),
+steps AS (SELECT doc_id, CASE WHEN i > 1 THEN w[i - 1] END AS a, w[i] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+words AS (SELECT b AS word, count(*) AS n FROM steps GROUP BY 1),
+pairs AS (SELECT a, b, count(*) AS n FROM steps WHERE a IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2),
+scores AS (
+  SELECT s.doc_id, CASE WHEN p.n IS NOT NULL THEN ln(p.n / h.n) ELSE ln(w.n / (SELECT sum(n) FROM words)) + CASE WHEN s.a IS NULL THEN 0 ELSE ln(0.4) END END AS s
+  FROM steps s LEFT JOIN pairs p ON s.a = p.a AND s.b = p.b LEFT JOIN words h ON s.a = h.word JOIN words w ON s.b = w.word)
+SELECT doc_id, len(w) AS n_words, coalesce(round(t, 3), 0) AS log_score FROM docs LEFT JOIN (SELECT doc_id, sum(s) AS t FROM scores GROUP BY 1) USING (doc_id)
+"""
+
+
 def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame(licenses.KNOWN, "license_id string, text string")
     found = licenses.license_hits(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), known)
@@ -193,6 +212,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_fingerprints": (op2_fingerprints, None),
+    "op3_lm_scores": (op3_lm_scores, OP3_SQL),
     "op4_license_digests": (op4_license_digests, OP4_SQL),
     "op5_secret_ledger": (op5_secret_ledger, OP5_SQL),
     "op6_near_duplicates": (op6_near_duplicates, OP6_SQL),

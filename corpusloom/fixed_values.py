@@ -10,7 +10,6 @@ DROPPED_CLASS_LETTERS = ["t", "f", "r", "m", "q", "d", "p", "c", "u", "e", "y",
 # Class and priority bonus of user terms, and the number loaded at most.
 USER_TERM_CLASS = "nwt"
 USER_TERM_BONUS = 1000
-USER_TERM_LIMIT = 1500000
 
 # Dictionaries of these categories are switched off; terms with this prefix are deleted.
 SILENCED_CATEGORIES = [
@@ -42,7 +41,6 @@ DICT_LINK_PREFIX = "/dict/detail/index/"
 PAGER_SELECTOR = "#dict_page_list"
 PAGER_LINK_PREFIX = "/dict/cate/index/"
 PAGER_SKIPPED = ["上一页", "下一页", "1"]
-PAGER_CAP = 20
 DICT_COUNT_ABOVE = 2000
 
 # Classifier defaults.

@@ -34,8 +34,8 @@ def shown_dicts(html: Column | str) -> Column:
     return F.transform(linked, lambda e: F.struct(e["dicid"].alias("dicid"), e["name"].alias("name"), e["count"].alias("count")))
 
 
-def last_page(html: Column | str, cap: int = fixed.PAGER_CAP) -> Column:
-    """Greatest page number of the pager, at most `cap`; 1 without a pager."""
+def last_page(html: Column | str) -> Column:
+    """Greatest page number of the pager; 1 without a pager."""
     pager = F.coalesce(first_element(html, fixed.PAGER_SELECTOR), F.lit(""))
     anchors = F.regexp_extract_all(pager, F.lit(r"(?is)(<a\s.*?</a\s*>)"), F.lit(1))
     wanted = F.filter(
@@ -44,7 +44,7 @@ def last_page(html: Column | str, cap: int = fixed.PAGER_CAP) -> Column:
         & ~plain_text(a).isin(fixed.PAGER_SKIPPED),
     )
     numbers = F.transform(wanted, lambda a: plain_text(a).try_cast("int"))
-    return F.least(F.coalesce(F.array_max(numbers), F.lit(1)), F.lit(cap))
+    return F.coalesce(F.array_max(numbers), F.lit(1))
 
 
 def read_list_pages(pages: DataFrame, characters: dict[str, str] | None = None, above: int = fixed.DICT_COUNT_ABOVE) -> DataFrame:

@@ -49,10 +49,10 @@ def last_term(terms: DataFrame, number: str = "termid") -> DataFrame:
     return terms.agg(F.coalesce(F.max_by("term", number), F.lit("")).alias("term"))
 
 
-def user_lexicon(base: DataFrame, terms: DataFrame, limit: int = fixed.USER_TERM_LIMIT) -> DataFrame:
-    """(term, termtype, freq): the base lexicon and the first `limit` user terms it does not have.
+def user_lexicon(base: DataFrame, terms: DataFrame, limit: int | None = None) -> DataFrame:
+    """(term, termtype, freq): the base lexicon and the user terms it does not have.
 
-    Where a term was stored twice, the lower id counts. The limit is part of the feature; pass None for all terms.
+    Where a term was stored twice, the lower id counts. A limit, where asked for, takes the first terms by id.
     """
     loaded = terms if limit is None else page_by_position(terms, "termid", 1, limit)
     user = loaded.groupBy("term").agg(F.min_by("termfreq", "termid").alias("termfreq"))

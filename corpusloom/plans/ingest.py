@@ -57,6 +57,8 @@ def ingest(
     )
     # By key alone, as all later joins of pages are, so that they find the pages in place.
     new = read.join(fresh.select("key", F.col("url").alias("_first")), "key").filter("url = _first").drop("_first")
+    # A page delivered more than once is one page: of its snapshots with content the first by HTML.
+    new = first_row(has_content(new), "key", "html")
     new = new.withColumn("text", weighted_text(title="title", tags="tags", keyword="keyword", content="content"))
 
     tagged = new.select("key", "target", F.posexplode(split_tags("tags")).alias("pos", "tag"))

@@ -221,7 +221,7 @@ PARTS = """listed AS (SELECT CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIG
     p_partkey AS dicid, p_name || ' & co' AS name, CAST(p_size * 100 AS BIGINT) AS "count" FROM part),
     firsts AS (SELECT brand, CASE WHEN max("count") > 2000 THEN 'brand' || brand ELSE '' END AS category FROM listed
         WHERE page = 1 GROUP BY brand),
-    shown AS (SELECT listed.*, firsts.category FROM listed JOIN firsts USING (brand) WHERE "count" > 2000 AND page <= 20)"""
+    shown AS (SELECT listed.*, firsts.category FROM listed JOIN firsts USING (brand) WHERE "count" > 2000)"""
 
 QUERIES = {
     "dict_table": (dict_table, f"WITH {DICTS} SELECT * FROM dicts"),
@@ -254,7 +254,7 @@ QUERIES = {
         FROM documents"""),
     "dict_pages": (dict_pages, f"""WITH {PARTS} SELECT brand AS category_id, page, CASE WHEN max("count") OVER (PARTITION BY brand, page) > 2000
         THEN 'brand' || brand ELSE '' END AS category, dicid, name, "count" FROM listed QUALIFY "count" > 2000"""),
-    "pager_rows": (pager_rows, f"""WITH {PARTS} SELECT DISTINCT brand AS category_id, unnest(range(2, least(last, 20) + 1)) AS page
+    "pager_rows": (pager_rows, f"""WITH {PARTS} SELECT DISTINCT brand AS category_id, unnest(range(2, last + 1)) AS page
         FROM (SELECT brand, max(page) AS last FROM listed GROUP BY brand HAVING min(page) = 1)"""),
     "dict_list": (dict_list, f"""WITH {PARTS} SELECT dicid, name, category, "count" FROM shown"""),
     "dict_term_todo": (dict_term_todo, f"""WITH {PARTS} SELECT md5('http://ex/dict/text?id=' || dicid) AS key,

@@ -8,7 +8,7 @@ from corpusloom.functions.html import BLOCK_TAGS, ENTITIES
 from corpusloom.functions.keys import canonical_url, ids_in_url, pad_bytes, pair_key, row_key
 from corpusloom.functions.text import weighted_text, weighted_words
 from corpusloom.operators import graph, weights as w
-from corpusloom.operators.filters import first_row
+from corpusloom.operators.joins import spread_join
 from corpusloom.operators.pages import PageRules, has_content, read_pages
 from corpusloom.operators.upserts import union_by_key
 from corpusloom.queries.terms import documents
@@ -57,21 +57,26 @@ def redirect_targets(spark, folder):
 
 
 def site(spark, folder) -> DataFrame:
-    """(url, content, hrefs): each page under the address it links to first, the smallest page where several share one.
+    """(page_id, url, content, hrefs): all pages with an address, under their own canonical one; links start from one base."""
+    read = read_pages(raw(spark, folder, "page_id", "url", "html"), RULES, ["page_id", "url"]).filter("url is not null")
+    return read.select("page_id", canonical_url("url").alias("url"), "content", F.transform("hrefs", lambda href: F.concat(F.lit("http://ex"), href)).alias("hrefs"))
 
-    A page that was cut off before its end counts as one without content.
-    """
-    read = read_pages(raw(spark, folder, "page_id", "html"), RULES, ["page_id", "html"]).filter(F.size("hrefs") > 0)
-    whole = F.when(F.contains(F.col("html"), F.lit("</html>")), F.col("content")).otherwise("")
-    address = lambda href: F.concat(F.lit("http://ex"), href)
-    own = read.select("page_id", address(F.get("hrefs", F.lit(0))).alias("url"), whole.alias("content"), F.transform("hrefs", address).alias("hrefs"))
-    return first_row(own, "url", "page_id")
+
+def addresses(pages: DataFrame) -> DataFrame:
+    """(url, target): the address that a page links to first leads to that page, to the smallest one where several share it."""
+    own = pages.filter(F.size("hrefs") > 0).select(F.get("hrefs", F.lit(0)).alias("url"), F.struct("page_id", "url").alias("page"))
+    return own.groupBy("url").agg(F.min("page").alias("page")).select("url", F.col("page.url").alias("target"))
 
 
 def edges_of(pages: DataFrame) -> DataFrame:
     return graph.link_edges(has_content(pages).select(F.col("url").alias("fromurl"), F.explode("hrefs").alias("tourl")))
 
 
+def read_urls(pages: DataFrame) -> DataFrame:
+    """URLs of pages that were read, by their own and by their linked address."""
+    return pages.select("url").unionByName(addresses(pages).select("url"))
+
+
 def link_edges(spark, folder):
     return edges_of(site(spark, folder))
 
@@ -79,8 +84,7 @@ def link_edges(spark, folder):
 def _settled(spark, folder):
     # Pages are parsed once and then read twice, as sources and as targets.
     pages = cut(has_content(site(spark, folder)))
-    stored = pages.select("url", F.col("url").alias("target"))
-    return graph.settle_links(edges_of(pages), stored)
+    return graph.settle_links(edges_of(pages), addresses(pages))
 
 
 def links_done(spark, folder):
@@ -93,7 +97,7 @@ def links_open(spark, folder):
 
 def frontier_next(spark, folder):
     pages = cut(site(spark, folder))
-    return graph.next_frontier(edges_of(pages), pages)
+    return graph.next_frontier(edges_of(pages), read_urls(pages))
 
 
 def todo_remaining(spark, folder):
@@ -101,14 +105,16 @@ def todo_remaining(spark, folder):
     pages = cut(site(spark, folder))
     linked = graph.keyed_urls(edges_of(pages).select(F.col("tourl").alias("url")))
     todo = union_by_key(graph.keyed_urls(pages), linked, "key")
-    return graph.remaining(todo, graph.keyed_urls(pages))
+    return graph.remaining(todo, graph.keyed_urls(read_urls(pages)))
 
 
 def reachable_pages(spark, folder):
     """What two link steps reach from the page with the smallest address that has content."""
     pages = cut(has_content(site(spark, folder)))
     start = pages.filter(F.col("url") == pages.agg(F.min("url")).scalar())
-    return graph.reachable(start, edges_of(pages), 2)
+    led = spread_join(edges_of(pages), addresses(pages).withColumnRenamed("url", "tourl"), "tourl", "left")
+    edges = led.select("fromurl", F.coalesce("target", "tourl").alias("tourl"))
+    return graph.reachable(start, edges, 2)
 
 
 def weighted_page_terms(spark, folder):
@@ -158,11 +164,11 @@ READ = f"""{CLEAN}, read AS (SELECT page_id, html,
     regexp_extract_all(h, '<a href="([^"]*)"', 1) AS hrefs FROM clean),
     hrefs AS (SELECT page_id, pos, regexp_replace(hrefs[pos + 1], '[?#].*$', '', 's') AS href
     FROM (SELECT page_id, hrefs, unnest(range(len(hrefs))) AS pos FROM read WHERE content <> ''))"""
-SITE = f"""{READ}, own AS (SELECT page_id, 'http://ex' || href AS url FROM hrefs WHERE pos = 0),
-    site AS (SELECT url, min(page_id) AS page_id FROM own GROUP BY url),
-    whole AS (SELECT site.url, page_id FROM site JOIN read USING (page_id) WHERE contains(html, '</html>') AND content <> ''),
+SITE = f"""{READ}, site AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages WHERE url IS NOT NULL),
+    addresses AS (SELECT 'http://ex' || href AS url, arg_min(site.url, page_id) AS target FROM hrefs JOIN site USING (page_id) WHERE pos = 0 GROUP BY 1),
+    known AS (SELECT url FROM site UNION SELECT url FROM addresses),
     edges AS (SELECT DISTINCT md5(url) || '-' || md5('http://ex' || href) AS key, url AS fromurl, 'http://ex' || href AS tourl
-    FROM whole JOIN hrefs USING (page_id))"""
+    FROM site JOIN hrefs USING (page_id))"""
 WORDS = r"regexp_extract_all(lower({}), '[\p{{L}}]+')"
 
 QUERIES = {
@@ -176,15 +182,17 @@ QUERIES = {
     "redirect_targets": (redirect_targets, r"""SELECT page_id, url, regexp_replace(url, '\.html$', '') AS target
         FROM (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url FROM pages)"""),
     "link_edges": (link_edges, f"WITH {SITE} SELECT key, fromurl, tourl FROM edges"),
-    "links_done": (links_done, f"WITH {SITE} SELECT key, fromurl, tourl FROM edges WHERE tourl IN (SELECT url FROM whole)"),
-    "links_open": (links_open, f"WITH {SITE} SELECT key, fromurl, tourl FROM edges WHERE tourl NOT IN (SELECT url FROM whole)"),
+    "links_done": (links_done, f"""WITH {SITE} SELECT md5(fromurl) || '-' || md5(target) AS key, fromurl, max(tourl) AS tourl
+        FROM edges JOIN addresses ON tourl = url GROUP BY fromurl, target"""),
+    "links_open": (links_open, f"WITH {SITE} SELECT key, fromurl, tourl FROM edges WHERE tourl NOT IN (SELECT url FROM addresses)"),
     "frontier_next": (frontier_next, f"""WITH {SITE} SELECT DISTINCT md5(tourl) AS key, tourl AS url FROM edges
-        WHERE tourl NOT IN (SELECT url FROM site)"""),
+        WHERE tourl NOT IN (SELECT url FROM known)"""),
     "todo_remaining": (todo_remaining, f"""WITH {SITE} SELECT md5(url) AS key, url FROM (
-        SELECT tourl AS url FROM edges UNION SELECT url FROM site) WHERE url NOT IN (SELECT url FROM site)"""),
-    "reachable_pages": (reachable_pages, f"""WITH {SITE}, h0 AS (SELECT min(url) AS url FROM whole),
-        h1 AS (SELECT DISTINCT tourl AS url FROM edges JOIN h0 ON fromurl = url WHERE tourl NOT IN (SELECT url FROM h0)),
-        h2 AS (SELECT DISTINCT tourl AS url FROM edges JOIN h1 ON fromurl = url
+        SELECT tourl AS url FROM edges UNION SELECT url FROM site) WHERE url NOT IN (SELECT url FROM known)"""),
+    "reachable_pages": (reachable_pages, f"""WITH {SITE}, led AS (SELECT DISTINCT fromurl, coalesce(target, tourl) AS tourl FROM edges LEFT JOIN addresses ON tourl = url),
+        h0 AS (SELECT min(site.url) AS url FROM site JOIN read USING (page_id) WHERE content <> ''),
+        h1 AS (SELECT DISTINCT tourl AS url FROM led JOIN h0 ON fromurl = url WHERE tourl NOT IN (SELECT url FROM h0)),
+        h2 AS (SELECT DISTINCT tourl AS url FROM led JOIN h1 ON fromurl = url
             WHERE tourl NOT IN (SELECT url FROM h0 UNION ALL SELECT url FROM h1))
         SELECT url, CAST(0 AS INTEGER) AS hop FROM h0 UNION ALL SELECT url, 1 FROM h1 UNION ALL SELECT url, 2 FROM h2"""),
     "weighted_page_terms": (weighted_page_terms, f"""WITH {READ} SELECT page_id, term, CAST(sum(n) AS BIGINT) AS tf FROM (

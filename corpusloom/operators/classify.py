@@ -64,8 +64,10 @@ def train(
     return Model(classes, terms.select("class", "term", "s", (F.col("base") + F.col("gain")).alias("theta"), "gain"))
 
 
-def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id") -> DataFrame:
-    """(doc, scores): for each document with terms an array of (score, class), the unnormalised log joint of each class.
+def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", documents: DataFrame | None = None) -> DataFrame:
+    """(doc, scores): for each document an array of (score, class), the unnormalised log joint of each class.
+
+    The documents are those of `documents`, or else those with terms; one without terms scores by the priors alone.
 
     score = pi + base * W + sum of w * gain over the terms that the class has seen, W the sum of all w of the document.
     Rows meet the model by term; the gains of a term are as many as there are classes at most. The parts are summed per
@@ -82,6 +84,8 @@ def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id") -> DataF
         F.max(F.when(~named, F.col("part"))).alias("_all"),
         F.map_from_entries(F.collect_list(F.when(named, F.struct("class", "part")))).alias("_parts"),
     )
+    if documents is not None:
+        per_doc = documents.select(doc).distinct().join(per_doc, doc, "left").withColumn("_all", F.coalesce("_all", F.lit(0.0)))
     classes = model.classes.agg(F.collect_list(F.struct("class", "pi", "base"))).scalar()
     scores = F.transform(
         F.col("_classes"),

@@ -33,7 +33,7 @@ def report(
     learn = in_training(doc, share)
     model = train(weights.filter(learn), labels.filter(learn), vocabulary, smoothing, doc)
     tested = labels.filter(~learn)
-    scores = class_scores(weights.filter(~learn).join(tested.select(doc).distinct(), doc, "left_semi"), model, doc)
+    scores = class_scores(weights.filter(~learn).join(tested.select(doc).distinct(), doc, "left_semi"), model, doc, tested)
     predictions = predict(scores, doc)
     return Report(
         model,

@@ -72,7 +72,7 @@ def _scores(spark, folder) -> DataFrame:
     all_weights, labels = weights(spark, folder), languages(spark, folder)
     learn = classify.in_training("doc_id")
     model = classify.train(all_weights.filter(learn), labels.filter(learn), vocabulary(spark, folder))
-    return classify.class_scores(all_weights.filter(~learn), model)
+    return classify.class_scores(all_weights.filter(~learn), model, documents=labels.filter(~learn))
 
 
 def nb_scores(spark, folder):
@@ -115,7 +115,7 @@ MODEL = f"""{WEIGHTS}, top AS (SELECT doc_id, term, w FROM weights
     classes AS (SELECT class, n, ln((n + 1.0) / (sum(n) OVER () + count(*) OVER ())) AS pi, -ln(coalesce(total, 0) + v) AS base
         FROM (SELECT class, count(*) AS n FROM train GROUP BY class) LEFT JOIN (SELECT class, sum(s) AS total FROM sums GROUP BY class)
         USING (class), v),
-    docs AS (SELECT doc_id, sum(w) AS w FROM top WHERE doc_id IN (SELECT doc_id FROM test) GROUP BY doc_id),
+    docs AS (SELECT doc_id, coalesce(sum(w), 0) AS w FROM (SELECT DISTINCT doc_id FROM test) LEFT JOIN top USING (doc_id) GROUP BY doc_id),
     gains AS (SELECT doc_id, class, sum(w * ln(s + 1.0)) AS gain FROM top JOIN sums USING (term)
         WHERE doc_id IN (SELECT doc_id FROM test) GROUP BY 1, 2),
     scores AS (SELECT doc_id, class, pi + base * w + coalesce(gain, 0) AS score

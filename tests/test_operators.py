@@ -340,3 +340,12 @@ def test_filters(spark, rows):
     assert rows(filters.in_set(df, "k", df.filter("s = 'x'").select("k")), "k") == [("r1",), ("r2",)]
     assert rows(df.filter(filters.any_contains("s", ["x", "y"])), "k") == [("r1",), ("r2",)]
     assert rows(df.filter(filters.present("s")), "k") == [("r1",), ("r2",)]
+
+
+def test_a_document_without_terms_scores_by_the_priors(spark):
+    weights = spark.createDataFrame([(1, "a", 2.0), (2, "b", 1.0), (3, "a", 1.0)], "doc_id int, term string, w double")
+    labels = spark.createDataFrame([(1, "x"), (2, "y"), (5, "y")], "doc_id int, class string")
+    model = classify.train(weights.filter("doc_id < 3"), labels, 2)
+    tested = spark.createDataFrame([(3,), (4,), (4,)], "doc_id int")
+    best = {r.doc_id: r.predicted for r in classify.predict(classify.class_scores(weights.filter("doc_id = 3"), model, documents=tested)).collect()}
+    assert best == {3: "x", 4: "y"}

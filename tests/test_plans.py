@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import joins, tags, weights
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
+from corpusloom.queries import pages
 
 from conftest import TESTDATA
 
@@ -103,3 +104,9 @@ def test_shared_folder_is_the_named_one(spark, monkeypatch):
     assert session.shared_dir(Named) == "hdfs://shared"
     with pytest.raises(ValueError):
         session.shared_dir(Cluster)
+
+
+def test_links_start_from_every_page_with_links(spark):
+    linked = pages.page_links(spark, FOLDER).select("page_id").distinct()
+    own = pages.page_urls(spark, FOLDER).join(linked, "page_id").select("canonical").distinct().count()
+    assert own > 0 and pages.link_edges(spark, FOLDER).select("fromurl").distinct().count() == own

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -74,6 +75,8 @@ def test_scores_without_words(docs, none):
     found = {r.row: r for r in lmscore.backoff_scores(docs).collect()}
     assert len(found) == len(TEXTS) + 1 and found[0].n_words == 0 and found[0].log_score == 0 and found[6].n_words == 3000
     assert found[4].log_score == found[5].log_score < 0
+    rare = {r.row: r for r in lmscore.backoff_scores(docs, most_frequent=1).collect()}
+    assert {k: (r.n_words, round(r.log_score, 6)) for k, r in rare.items()} == {k: (r.n_words, round(r.log_score, 6)) for k, r in found.items()}
     assert lmscore.backoff_scores(none).count() == 0
 
 
@@ -144,3 +147,21 @@ def test_pipeline_stages_keep_columns(spark, docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs_after = stage(spark, docs, folder)
         assert docs_after.columns == docs.columns and docs_after.count() <= docs.count(), name
+
+
+def test_backoff_scores_meet_brute_force(spark):
+    words = ["a", "b", "c", "d e", "f", ""]
+    rng = np.random.default_rng(5)
+    texts = {i: " ".join(rng.choice(words, rng.integers(0, 30))) for i in range(60)}
+    split = {i: t.split() for i, t in texts.items()}
+    single, pair = Counter(w for t in split.values() for w in t), Counter(p for t in split.values() for p in zip(t, t[1:]))
+    total = sum(single.values())
+
+    def score(t):
+        steps = zip([None, *t], t)
+        return sum(np.log(pair[a, b] / single[a]) if pair[a, b] >= 9 else np.log(single[b] / total) + (0 if a is None else np.log(0.4)) for a, b in steps)
+
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for most in (1, 6, 1 << 21):
+        for r in lmscore.backoff_scores(docs, least=9, most_frequent=most).collect():
+            assert r.n_words == len(split[r.row]) and abs(r.log_score - score(split[r.row])) < 1e-6

@@ -16,6 +16,18 @@ from corpusloom.operators.joins import spread_join
 BROADCAST_TERMS = 1_500_000
 
 
+def one_per_term(lexicon: DataFrame) -> DataFrame:
+    """(term, termtype, freq): of a repeated term the row with the greatest freq, then the least termtype.
+
+    A null freq counts as 0: the term is known, but never seen. Null and empty terms are no words. A term without a
+    termtype comes after the others.
+    """
+    freq = F.coalesce("freq", F.lit(0)) if "freq" in lexicon.columns else F.lit(0)
+    best = F.min(F.struct((-freq).alias("less"), F.col("termtype").isNull().alias("untyped"), "termtype"))
+    terms = lexicon.filter("term <> ''").groupBy("term").agg(best.alias("b"))
+    return terms.select("term", "b.termtype", (-F.col("b.less")).alias("freq"))
+
+
 def letter_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, run, letters): runs of letters in order; no word of a lexicon crosses their ends."""
     runs = F.regexp_extract_all(F.lower(_col(text)), F.lit(r"(\p{L}+)"), F.lit(1))
@@ -67,11 +79,12 @@ def segment(
 ) -> DataFrame:
     """(doc, pos, term, termtype): the words of each document in order.
 
-    `lexicon(term, termtype, freq)` has one row per term. It is copied to the tasks when it has at most
-    `broadcast_terms` rows, and joined to the candidate words of the text otherwise; both ways give the same cuts.
+    `lexicon(term, termtype, freq)` is read by `one_per_term`. It is copied to the tasks when it has at most
+    `broadcast_terms` different terms, and joined to the candidate words of the text otherwise; both ways give the same cuts.
     """
     if method not in ("longest", "likeliest"):
         raise ValueError("method is longest or likeliest")
+    lexicon = one_per_term(lexicon)
     size = lexicon.agg(
         F.count("*").alias("terms"), F.max(F.length("term")).alias("longest"), F.sum("freq").alias("total")
     ).first()
@@ -166,7 +179,7 @@ def _words(cut_runs: DataFrame, doc: str, unknown_class: str) -> DataFrame:
 
 def with_classes(tokens: DataFrame, lexicon: DataFrame, unknown_class: str = "n") -> DataFrame:
     """Adds `termtype` to tokens that were not cut with the lexicon."""
-    joined = spread_join(tokens, lexicon.select("term", "termtype"), "term", "left")
+    joined = spread_join(tokens, one_per_term(lexicon).select("term", "termtype"), "term", "left")
     return joined.withColumn("termtype", F.coalesce("termtype", F.lit(unknown_class)))
 
 

@@ -269,6 +269,15 @@ def test_segmentation_both_ways(spark, rows):
     assert segment.segment(docs, words.limit(0)).filter("doc_id = 1").count() == 7
 
 
+def test_segmentation_of_unseen_and_repeated_terms(spark):
+    docs = spark.createDataFrame([(1, "abcabd")], "doc_id int, text string")
+    words = [("ab", "v", None), ("abd", "n", 5), ("abd", "a", 5), ("abd", "z", 1), ("c", None, 2), ("", "n", 9), (None, "n", 9)]
+    lexicon_rows = spark.createDataFrame(words, "term string, termtype string, freq bigint")
+    for limit in (10, 1):
+        got = segment.segment(docs, lexicon_rows, broadcast_terms=limit).orderBy("pos").collect()
+        assert [(r.term, r.termtype) for r in got] == [("ab", "v"), ("c", "n"), ("abd", "a")]
+
+
 def test_likeliest_cut_against_brute_force():
     import itertools
 

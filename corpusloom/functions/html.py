@@ -17,6 +17,9 @@ BLOCK_TAGS = (
     "title tr ul"
 ).split()
 
+# What an unclosed script or style takes with it.
+OPEN_CODE = r"(?is)<(?:script|style)[\s/>].*"
+
 # Named entities of plain prose (HTML standard); `amp` comes last so that nothing is decoded twice.
 ENTITIES = {
     "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®", "trade": "™",
@@ -27,8 +30,9 @@ ENTITIES = {
 
 
 def without_code(html: Column | str) -> Column:
-    """HTML without script and style blocks."""
-    return F.regexp_replace(F.regexp_replace(_col(html), fixed.SCRIPT_BLOCK, ""), fixed.STYLE_BLOCK, "")
+    """HTML without script and style blocks; one that is never closed reaches to the end."""
+    closed = F.regexp_replace(F.regexp_replace(_col(html), fixed.SCRIPT_BLOCK, ""), fixed.STYLE_BLOCK, "")
+    return F.regexp_replace(closed, OPEN_CODE, "")
 
 
 def decode_entities(text: Column | str) -> Column:

@@ -156,8 +156,9 @@ def _text(html: str) -> str:
     return rf"trim(regexp_replace({_decode(text)}, '\s+', ' ', 'g'))"
 
 
-CLEAN = r"""clean AS (SELECT page_id, url, html, regexp_replace(regexp_replace(html,
-    '<\s*script[^>]*>.*?<\s*/\s*script\s*>', '', 'gis'), '<\s*style[^>]*>.*?<\s*/\s*style\s*>', '', 'gis') AS h FROM pages)"""
+CLEAN = r"""clean AS (SELECT page_id, url, html, regexp_replace(regexp_replace(regexp_replace(html,
+    '<\s*script[^>]*>.*?<\s*/\s*script\s*>', '', 'gis'), '<\s*style[^>]*>.*?<\s*/\s*style\s*>', '', 'gis'),
+    '<(?:script|style)[\s/>].*', '', 'is') AS h FROM pages)"""
 READ = f"""{CLEAN}, read AS (SELECT page_id, html,
     {_text("regexp_extract(h, '<article>(.*?)</article>', 1, 's')")} AS content,
     {_text("regexp_extract(h, '<title>(.*?)</title>', 1, 's')")} AS title,

@@ -118,3 +118,9 @@ def test_links_keep_order_and_copies(spark):
 
 def test_leading_title(spark):
     assert one(spark, html.leading_title("t"), t="城市_词库_x") == "城市"
+
+
+def test_unclosed_code_reaches_to_the_end(spark):
+    pages = ["<p>tea<script>var a=1;\nb", "a<STYLE\ntype=x>p{}", "<script>x</script>tea<p>", "<scripted>tea"]
+    cleaned = spark.createDataFrame([(p,) for p in pages], "h string").select(html.without_code("h")).collect()
+    assert [r[0] for r in cleaned] == ["<p>tea", "a", "tea<p>", "<scripted>tea"]

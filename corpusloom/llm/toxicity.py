@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,12 +19,13 @@ SAMPLE = (3_000, 1_500)
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 18
-    grams: tuple[int, ...] = (5,)
+    #: Lengths of the n-grams: a word with one changed letter keeps some of the short ones.
+    grams: tuple[int, ...] = (3, 4, 5, 6)
     size: int = 2
-    epochs: int = 60
+    epochs: int = 120
     rate: float = 0.05
     scale: float = 100.0
-    decay: float = 4e-4
+    decay: float = 1e-4
 
 
 def gram_buckets(word: str, settings: Settings) -> list[int]:
@@ -68,7 +70,7 @@ class _Bag:
 
     @staticmethod
     def _runs(keys, others, weights):
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys, kind="stable").astype(np.int32)
         keys = keys[order]
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         return keys[starts], starts, others[order], weights[order].astype(np.float32)
@@ -98,16 +100,22 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
     for at, text in enumerate(texts):
         words = text.lower().split()
         codes, counts = np.unique([vocabulary.setdefault(w, len(vocabulary)) for w in words], return_counts=True)
-        doc.append(np.full(len(codes), at))
-        word.append(codes.astype(np.int64))
-        weight.append(counts / max(1, len(words)) * settings.scale)
+        doc.append(np.full(len(codes), at, np.int32))
+        word.append(codes.astype(np.int32))
+        weight.append((counts / max(1, len(words)) * settings.scale).astype(np.float32))
     if not vocabulary or share in (0.0, 1.0):
         odds = np.log((share + 1e-9) / (1 - share + 1e-9))
         return ToxicityModel(np.zeros(settings.buckets, np.float32), float(odds), settings)
-    bags = [gram_buckets(w, settings) for w in vocabulary]
-    lengths = np.array([len(b) for b in bags])
-    grams = _Bag(np.repeat(np.arange(len(bags)), lengths), np.concatenate(bags).astype(np.int64), np.repeat(1 / lengths, lengths), len(bags), settings.buckets)
-    docs = _Bag(np.concatenate(doc), np.concatenate(word), np.concatenate(weight), len(texts), len(bags))
+    # Plain 4-byte numbers: this runs in the driver, and lists of the n-grams would take ten times the room.
+    bags, lengths = array("i"), array("i")
+    for w in vocabulary:
+        found = gram_buckets(w, settings)
+        bags.extend(found)
+        lengths.append(len(found))
+    columns, lengths = np.frombuffer(bags, np.int32), np.frombuffer(lengths, np.int32)
+    grams = _Bag(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), columns, np.repeat((1 / lengths).astype(np.float32), lengths), len(lengths), settings.buckets)
+    docs = _Bag(np.concatenate(doc), np.concatenate(word), np.concatenate(weight), len(texts), len(lengths))
+    del columns, bags, doc, word, weight
     rng = np.random.default_rng(7)
     state = {
         "vectors": rng.normal(0, 0.05, (settings.size, settings.buckets)).astype(np.float32),

@@ -142,6 +142,23 @@ def test_toxicity_held_out_and_empty(spark, docs, none):
     assert {r.toxic_predicted for r in toxicity.scored(docs, model).collect()} == {0} and toxicity.scored(none, model).count() == 0
 
 
+def test_toxicity_of_misspelt_words(spark):
+    bad, misspelt = "idiot moron clown trash loser scum stupid".split(), "idi0t m0ron cl0wn tr4sh l0ser scvm stoopid".split()
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("aeiourstlnmdpgvk"), rng.integers(3, 9))) for _ in range(2000)]
+    held = {r.doc_id for r in spark.range(900).withColumnRenamed("id", "doc_id").filter(toxicity.held_out()).collect()}
+
+    def text(i):
+        others = (misspelt if i in held else bad) if i % 3 == 0 else words[1000:] if i in held else words[:1000]
+        return " ".join([*rng.choice(words[:1000], 15), *rng.choice(others, 10)])
+
+    many = spark.createDataFrame([(i, text(i)) for i in range(900)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)], "doc_id bigint, toxic int")
+    rated = [r for r in toxicity.scored(many, toxicity.fitted(many, labels)).collect() if r.doc_id in held]
+    found, wrong = ([r.toxic_predicted for r in rated if (r.doc_id % 3 == 0) == toxic] for toxic in (True, False))
+    assert len(found) > 50 and np.mean(found) > 0.9 and len(wrong) > 100 and not any(wrong)
+
+
 def test_pipeline_stages_keep_columns(spark, docs):
     folder = "/root/testdata/sf0.001"
     for name, stage in corpus_pipeline.STAGES[:-1]:

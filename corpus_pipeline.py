@@ -9,6 +9,9 @@ from corpusloom.llm.common import staged
 from corpusloom.llm.queries import tokenizer_path
 from corpusloom.sources.tables import read_table
 
+#: Jaccard similarity, in percent, from which two documents of the near-dedup stage are near duplicates.
+NEAR_PERCENT = 80
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -20,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: that of the least id."""
-    found = neardup.near_duplicates(docs).filter("kept").select(F.col("row").alias("_kept"))
+    found = neardup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("row").alias("_kept"))
     kept = staged(found.distinct())
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
 

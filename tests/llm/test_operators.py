@@ -166,6 +166,30 @@ def test_pipeline_stages_keep_columns(spark, docs):
         assert docs_after.columns == docs.columns and docs_after.count() <= docs.count(), name
 
 
+def test_pipeline_meets_brute_force_on_near_pairs(spark, monkeypatch):
+    def changed(text, places):
+        words = text.split()
+        return " ".join(f"new{i}" if i in places else w for i, w in enumerate(words))
+
+    bases = [" ".join(f"b{k}w{i}" for i in range(200)) for k in range(6)]
+    texts = {}
+    for k, base in enumerate(bases):
+        # Four, three and six scattered changes: 176 of 216 shingles (0.81), 181 of 211 (0.86), 166 of 226 (0.73).
+        texts[2 * k + 1] = base
+        texts[2 * k + 2] = changed(base, [(20, 60, 100, 140), (20, 60, 100), (20, 50, 80, 110, 140, 170)][k % 3])
+    sets = {d: {tuple(w[i:i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in texts.items())}
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(alike) == 4 and sum(len(sets[a] & sets[b]) < 0.85 * len(sets[a] | sets[b]) for a, b in alike) == 2
+    tables = {
+        "documents": spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts.items()], SCHEMA),
+        "labels": spark.createDataFrame([], "doc_id bigint, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([("q", "nothing of the kind")], "item_id string, text string"),
+    }
+    monkeypatch.setattr(corpus_pipeline, "read_table", lambda spark, folder, name, *_: tables[name])
+    left = {r.doc_id for r in corpus_pipeline.run(spark, "").select("doc_id").distinct().collect()}
+    assert left == set(texts) - {b for _, b in alike}
+
+
 def test_backoff_scores_meet_brute_force(spark):
     words = ["a", "b", "c", "d e", "f", ""]
     rng = np.random.default_rng(5)

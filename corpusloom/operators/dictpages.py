@@ -34,8 +34,8 @@ def shown_dicts(html: Column | str) -> Column:
     return F.transform(linked, lambda e: F.struct(e["dicid"].alias("dicid"), e["name"].alias("name"), e["count"].alias("count")))
 
 
-def last_page(html: Column | str) -> Column:
-    """Greatest page number of the pager; 1 without a pager."""
+def last_page(html: Column | str, most_pages: int | None = None) -> Column:
+    """Greatest page number of the pager, but no more than `most_pages` where that is given; 1 without a pager."""
     pager = F.coalesce(first_element(html, fixed.PAGER_SELECTOR), F.lit(""))
     anchors = F.regexp_extract_all(pager, F.lit(r"(?is)(<a\s.*?</a\s*>)"), F.lit(1))
     wanted = F.filter(
@@ -44,18 +44,24 @@ def last_page(html: Column | str) -> Column:
         & ~plain_text(a).isin(fixed.PAGER_SKIPPED),
     )
     numbers = F.transform(wanted, lambda a: plain_text(a).try_cast("int"))
-    return F.coalesce(F.array_max(numbers), F.lit(1))
+    last = F.coalesce(F.array_max(numbers), F.lit(1))
+    return last if most_pages is None else F.least(last, F.lit(most_pages))
 
 
-def read_list_pages(pages: DataFrame, characters: dict[str, str] | None = None, above: int = fixed.DICT_COUNT_ABOVE) -> DataFrame:
-    """(url, category_id, page, category, dicts, last_page) of pages (url, html); only dicts counted `above` that many."""
+def read_list_pages(
+    pages: DataFrame, characters: dict[str, str] | None = None, above: int = fixed.DICT_COUNT_ABOVE, most_pages: int | None = None
+) -> DataFrame:
+    """(url, category_id, page, category, dicts, last_page) of pages (url, html); only dicts counted `above` that many.
+
+    `most_pages` bounds the pages of a category that are followed; without it the pager alone decides.
+    """
     html = without_code(map_characters("html", characters) if characters else F.col("html"))
     read = pages.select("url", page_numbers("url").alias("_numbers"), html.alias("_html")).select(
         "url",
         "_numbers.*",
         leading_title(page_title("_html")).alias("category"),
         shown_dicts("_html").alias("_shown"),
-        last_page("_html").alias("last_page"),
+        last_page("_html", most_pages).alias("last_page"),
     )
     counted = F.filter("_shown", lambda d: d["count"] > above)
     return read.withColumn("dicts", counted).withColumn(
@@ -84,9 +90,8 @@ def listed_dicts(read: DataFrame) -> DataFrame:
     """
     columns = ["category_id", "page", "category", F.posexplode("dicts").alias("pos", "d")]
     first = read.filter(F.col("page") == 1)
-    categories = first.groupBy("category_id").agg(F.max("category").alias("category"))
-    further = read.drop("category").join(pager_rows(read).distinct(), ["category_id", "page"], "left_semi").join(
-        categories, "category_id"
-    )
+    # The pages that were read meet the bounds of their category: a number that a pager prints makes no rows.
+    bounds = first.groupBy("category_id").agg(F.max("category").alias("category"), F.max("last_page").alias("_last"))
+    further = read.drop("category").join(bounds, "category_id").filter((F.col("page") > 1) & (F.col("page") <= F.col("_last")))
     rows = first.select(*columns).unionByName(further.select(*columns))
     return rows.select("category_id", "page", "pos", "d.dicid", "d.name", "category", "d.count")

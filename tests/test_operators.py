@@ -328,14 +328,25 @@ def test_dict_pages(spark, rows):
         (url.format(5, 2), list_page("空", [("/dict/detail/index/17", "late", 5000)])),
         (url.format(6, 1), "<p>nothing</p>"),
     ], "url string, html string")
-    read = dictpages.read_list_pages(pages)
-    assert rows(read.filter("page = 1"), "category_id", "category", "last_page") == [(4, "城市", 3), (5, "", 20), (6, "", 1)]
-    listed = rows(dictpages.listed_dicts(read).filter("dicid is not null"), "dicid", "name", "category", "count")
-    assert listed == [(11, "A & B", "城市", 3000), (14, "C", "城市", 2001), (17, "late", "", 5000)]
-    assert dictpages.pager_rows(read).count() == 2 + 19
+    for most_pages, last in [(None, 98), (20, 20)]:
+        read = dictpages.read_list_pages(pages, most_pages=most_pages)
+        assert rows(read.filter("page = 1"), "category_id", "category", "last_page") == [(4, "城市", 3), (5, "", last), (6, "", 1)]
+        listed = rows(dictpages.listed_dicts(read).filter("dicid is not null"), "dicid", "name", "category", "count")
+        assert listed == [(11, "A & B", "城市", 3000), (14, "C", "城市", 2001), (17, "late", "", 5000)]
+        assert dictpages.pager_rows(read).count() == 2 + last - 1
+    assert dictpages.listed_dicts(dictpages.read_list_pages(pages, most_pages=1)).filter("dicid = 14").isEmpty()
     assert rows(dictpages.rejected_dicts(pages), "name", "reason") == [("bad", "id is no number")]
 
 
+def test_a_pager_that_prints_a_huge_number_makes_no_rows(spark):
+    url = "http://h/dict/cate/index/7/download/{}"
+    dicts = [("/dict/detail/index/31", "D", 3000)]
+    pages = spark.createDataFrame(
+        [(url.format(1), list_page("x", dicts, [2_000_000_000])), (url.format(1_999_999_999), list_page("x", dicts))], "url string, html string"
+    )
+    assert dictpages.listed_dicts(dictpages.read_list_pages(pages)).count() == 2
+
+
 def test_filters(spark, rows):
     df = spark.createDataFrame([("r1", "1", "x", "2.5"), ("r2", "b", "x", None), ("r3", "3", None, "1")], "k string, i string, s string, f string")
     assert rows(filters.select_where(df, {"s": "x"}, ["k"])) == [("r1",), ("r2",)]

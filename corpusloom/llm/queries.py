@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, repeats, secrets, toxicity, urls
+from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, pieces, repeats, secrets, toxicity, urls
 from corpusloom.sources.tables import read_table
 
-#: The file of the tokenizer in the folder of public tokenizers.
-TOKENIZER = "word_bpe_49k.json"
+#: The files of the tokenizer and of the pieces in the folder of public tokenizers.
+TOKENIZER, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -209,6 +209,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", toxicity.held_out().alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the piece ids of every whole text, and digest of the text they give again."""
+    documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    coded = pieces.encode(documents, tokenizer_path(PIECES), decoded="decoded_text", keep=["doc_id"])
+    return coded.select(
+        "doc_id", F.size("piece_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded_text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": (op1_packing, None),
     "op2_fingerprints": (op2_fingerprints, None),
@@ -220,4 +230,5 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op13_sentencepiece": (op13_sentencepiece, None),
 }

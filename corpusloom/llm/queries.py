@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, pieces, repeats, secrets, toxicity, urls
+from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, pieces, repair, repeats, secrets, toxicity, urls
 from corpusloom.sources.tables import read_table
 
 #: The files of the tokenizer and of the pieces in the folder of public tokenizers.
@@ -209,6 +209,63 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", toxicity.held_out().alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text that is not empty; the engine of the SQL has no function for it."""
+    return (
+        f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1))), 4294967295::BIGINT), 4294967295)"
+    )
+
+
+def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    found = repair.repaired(repair.damaged(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])), "present")
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", F.sha2(repair.lines("repaired"), 256).alias("repaired_sha256")
+    )
+
+
+#: The best repair for each state of the grammar (E empty, S system, U user, A assistant last), turn by turn.
+OP12_SQL = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM keyed WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM damaged),
+judged AS (
+  SELECT *, substr(role, 1, 1) AS r, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'duplicate'
+      WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM placed),
+pre(f, st, c, a, t) AS (VALUES ('E', 'E', 0, '', ''), ('S', 'S', 0, '', ''), ('U', 'U', 0, '', ''), ('A', 'A', 0, '', ''),
+  ('E', 'U', 5, 'I', chr(10) || 'user:'), ('S', 'U', 5, 'I', chr(10) || 'user:'), ('A', 'U', 5, 'I', chr(10) || 'user:'), ('U', 'A', 5, 'I', chr(10) || 'assistant:'),
+  ('E', 'A', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('S', 'A', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+act(f, a, need, st, role) AS (VALUES ('E', 'D', '', 'E', ''), ('S', 'D', '', 'S', ''), ('U', 'D', '', 'U', ''), ('A', 'D', '', 'A', ''),
+  ('E', 'K', 's', 'S', ''), ('E', 'K', 'u', 'U', ''), ('S', 'K', 'u', 'U', ''), ('A', 'K', 'u', 'U', ''), ('U', 'K', 'a', 'A', ''),
+  ('E', 'R', 'u', 'U', 'user'), ('S', 'R', 'u', 'U', 'user'), ('A', 'R', 'u', 'U', 'user'), ('U', 'R', 'a', 'A', 'assistant')),
+run(conv_id, i, st, b) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 'E', {{'c': 0::BIGINT, 'a': '', 't': ''}} FROM conversations
+  UNION ALL
+  SELECT run.conv_id, run.i + 1, act.st, min({{
+    'c': run.b.c + pre.c + CASE act.a WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN j.f = 'truncated' AND act.a <> 'D' THEN 5 ELSE 0 END,
+    'a': run.b.a || pre.a || act.a,
+    't': run.b.t || pre.t || CASE act.a WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || j.role || ':' || j.text ELSE chr(10) || act.role || ':' || j.text END}})
+  FROM run JOIN judged j ON j.conv_id IS NOT DISTINCT FROM run.conv_id AND j.rn = run.i + 1 JOIN pre ON pre.f = run.st JOIN act ON act.f = pre.st
+    AND (act.a = 'D' OR (j.f NOT IN ('blank', 'duplicate') AND (act.a = 'K') = (j.r = act.need)))
+  GROUP BY run.conv_id, run.i, act.st),
+sums AS (
+  SELECT c.conv_id, count(rn) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'blank') AS blank,
+    count(*) FILTER (f = 'duplicate') AS duplicate, count(*) FILTER (f = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN judged ON c.conv_id IS NOT DISTINCT FROM judged.conv_id GROUP BY c.conv_id),
+best AS (
+  SELECT s.conv_id, min({{'c': b.c + pre.c, 'a': b.a || pre.a, 't': b.t || pre.t}}) AS b FROM sums s JOIN run ON run.conv_id IS NOT DISTINCT FROM s.conv_id AND run.i = s.n
+  JOIN pre ON pre.f = run.st AND pre.st IN ('E', 'A') GROUP BY s.conv_id)
+SELECT s.conv_id, gaps, blank, duplicate, truncated, illegal, b.c AS cost, b.a AS audit, sha256(substr(b.t, 2)) AS repaired_sha256
+FROM sums s JOIN best ON s.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the piece ids of every whole text, and digest of the text they give again."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -230,5 +287,6 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op12_repaired_conversations": (op12_repaired_conversations, OP12_SQL),
     "op13_sentencepiece": (op13_sentencepiece, None),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, pieces, repair, repeats, secrets, toxicity, urls
+from corpusloom.llm import decontaminate, fingerprints, licenses, lmscore, neardup, packing, pieces, repair, repeats, secrets, toxicity, trie, urls
 from corpusloom.sources.tables import read_table
 
 #: The files of the tokenizer and of the pieces in the folder of public tokenizers.
@@ -217,6 +217,36 @@ def _crc32_sql(text: str) -> str:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of the rebuilt conversations, with the sums of their subtrees."""
+    return trie.conversation_trie(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
+
+
+#: Keys are the digests of the turns so far; what lies below a node is found by the beginnings of each node's smallest member.
+OP11_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rn
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, t.rn, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.rn <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.rn, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.rn > c.h),
+placed AS (SELECT conv_id, text, md5(role) || md5(text) AS turn, row_number() OVER (PARTITION BY conv_id ORDER BY part, rn) AS depth FROM rebuilt),
+members AS (
+  SELECT conv_id, depth, length(text) AS size, string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+ends AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM members
+  WHERE depth = (SELECT max(depth) FROM members m WHERE m.conv_id = members.conv_id) GROUP BY key),
+nodes AS (SELECT key, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, (count(*) - 1) * min(size) AS saved FROM members GROUP BY key),
+linked AS (SELECT n.*, p.key AS parent, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.key = left(n.key, 64 * (n.depth - 1)) ),
+kids AS (SELECT parent AS key, count(*) AS n FROM linked WHERE depth > 0 GROUP BY parent),
+below AS (
+  SELECT m.key, sum(n.saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves FROM nodes n LEFT JOIN kids k USING (key) JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY m.key)
+SELECT l.conv_id, l.depth, parent_conv_id, n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves, b.saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM linked l JOIN below b USING (key) LEFT JOIN kids USING (key) LEFT JOIN ends USING (key)
+"""
+
+
 def op12_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     found = repair.repaired(repair.damaged(read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])), "present")
@@ -236,8 +266,11 @@ damaged AS (
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM damaged),
 judged AS (
   SELECT *, substr(role, 1, 1) AS r, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY rn) AS before,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'duplicate'
-      WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM placed),
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 THEN 'duplicate'
+      WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS f FROM placed),
 pre(f, st, c, a, t) AS (VALUES ('E', 'E', 0, '', ''), ('S', 'S', 0, '', ''), ('U', 'U', 0, '', ''), ('A', 'A', 0, '', ''),
   ('E', 'U', 5, 'I', chr(10) || 'user:'), ('S', 'U', 5, 'I', chr(10) || 'user:'), ('A', 'U', 5, 'I', chr(10) || 'user:'), ('U', 'A', 5, 'I', chr(10) || 'assistant:'),
   ('E', 'A', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('S', 'A', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
@@ -287,6 +320,7 @@ QUERIES = {
     "op8_decontamination": (op8_decontamination, OP8_SQL),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_conversation_trie": (op11_conversation_trie, OP11_SQL),
     "op12_repaired_conversations": (op12_repaired_conversations, OP12_SQL),
     "op13_sentencepiece": (op13_sentencepiece, None),
 }

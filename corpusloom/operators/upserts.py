@@ -1,7 +1,8 @@
 """Table state as snapshots: old rows and arrivals give the new rows.
 
 Keys are unique in every old table. Arrivals may repeat a key as often as they like: they are combined per key
-before the shuffle, so that every join below is between two sides with unique keys.
+before the shuffle, so that every join below is between two sides with unique keys. An old table that
+`sources.state.store` wrote is not shuffled: the combined arrivals are dealt out to its buckets.
 """
 
 from __future__ import annotations
@@ -92,28 +93,32 @@ def _apply(
     old: DataFrame, delta: DataFrame, key: str, attributes: list[str], count: str | None, id_name: str | None
 ) -> DataFrame:
     types = dict(old.dtypes)
+    if id_name:
+        delta = _with_new_ids(old, delta, key, id_name)
+    held = old.select(key, *[F.col(c).alias(f"_old_{c}") for c in old.columns if c != key])
 
-    def column(name: str, known: bool) -> Column:
-        before = F.col(name) if known else F.lit(None)
+    def column(name: str) -> Column:
+        if name == key:
+            return F.col(key)
+        before = F.col(f"_old_{name}")
         if name in attributes:
-            value = F.coalesce(F.col(f"_new_{name}"), before)
+            before = F.coalesce(F.col(f"_new_{name}"), before)
         elif name == count:
-            value = F.coalesce(before, F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0))
-        else:
-            value = before
-        return value.cast(types[name]).alias(name)
+            before = F.coalesce(before, F.lit(0)) + F.coalesce(F.col("_n"), F.lit(0))
+        elif name == id_name:
+            before = F.coalesce(before, F.col("_id"))
+        return before.cast(types[name]).alias(name)
 
-    if id_name:
-        # One row per arriving key: far less than the arrivals, which are thus read once.
-        delta = cut(delta)
-    rest = [c for c in old.columns if c not in (key, id_name)]
-    front = [key] + ([id_name] if id_name else [])
-    fresh = delta.join(old.select(key), key, "left_anti")
-    if id_name:
-        last = old.agg(F.coalesce(F.max(id_name), F.lit(0)).cast("bigint")).scalar()
-        fresh = dense_ids(fresh, key, id_name, last)
-    grown = old.join(delta, key, "left").select(*front, *[column(c, True) for c in rest])
-    return grown.unionByName(fresh.select(*front, *[column(c, False) for c in rest])).select(*old.columns)
+    return held.join(delta, key, "full_outer").select(*[column(c) for c in old.columns])
+
+
+def _with_new_ids(old: DataFrame, delta: DataFrame, key: str, id_name: str) -> DataFrame:
+    """`delta` with `_id`: the next dense ids for keys that the table does not have; only the table's keys are read for it."""
+    # One row per arriving key: far less than the arrivals, which are thus read once.
+    delta = cut(delta.join(old.select(key, F.lit(True).alias("_known")), key, "left"))
+    last = old.agg(F.coalesce(F.max(id_name), F.lit(0)).cast("bigint")).scalar()
+    fresh = dense_ids(delta.filter("_known IS NULL").drop("_known"), key, "_id", last)
+    return delta.filter("_known").drop("_known").withColumn("_id", F.lit(None).cast("bigint")).unionByName(fresh)
 
 
 def ids_of(arrivals: DataFrame, table: DataFrame, key: str, id_name: str, count: str | None = None) -> DataFrame:

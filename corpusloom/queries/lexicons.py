@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.text import map_characters
-from corpusloom.operators import dictpages, filters, ids, lexicon, segment, weights as w
+from corpusloom.operators import dictpages, filters, ids, lexicon, rankindex, segment, weights as w
 from corpusloom.operators.upserts import delete_prefix, insert_absent
 from corpusloom.plans.lexicon import dict_rows, term_rows
 from corpusloom.queries.terms import TOKENS, documents
@@ -82,7 +82,7 @@ def lexicon_active(spark, folder):
 
 
 def lexicon_page(spark, folder):
-    return ids.page_by_position(active(spark, folder), "termid", 3, 200)
+    return rankindex.build(active(spark, folder), "termid").page(3, 200)
 
 
 def lexicon_page_after(spark, folder):

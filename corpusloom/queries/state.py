@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import filters, ids, upserts
+from corpusloom.operators import filters, ids, rankindex, upserts
+from corpusloom.sources.state import store
 from corpusloom.sources.tables import read_table
 
 
@@ -75,7 +76,7 @@ def insert_status(spark, folder):
 
 
 def merge_columns(spark, folder):
-    return upserts.merge_columns(_viewers(spark, folder), _buyers(spark, folder), "user_id", "place")
+    return upserts.merge_columns(store(_viewers(spark, folder), "user_id"), _buyers(spark, folder), "user_id", "place")
 
 
 def union_by_key(spark, folder):
@@ -89,7 +90,7 @@ def upsert_count(spark, folder):
     empty = spark.createDataFrame([], "user_id bigint, uid bigint, kind string, seen bigint")
     events = read_table(spark, folder, "events", ["event_id", "user_id", "event_type"]).withColumnRenamed("event_type", "kind")
     views = events.filter(F.col("kind") == "view")
-    table = upserts.upsert_count(empty, views, "user_id", "event_id", ["kind"], "seen", "uid")
+    table = store(upserts.upsert_count(empty, views, "user_id", "event_id", ["kind"], "seen", "uid"), "user_id")
     return upserts.upsert_count(table, events, "user_id", "event_id", ["kind"], "seen", "uid")
 
 
@@ -137,15 +138,15 @@ def _numbered(spark, folder):
 
 
 def order_page(spark, folder):
-    """Page 3 of 500 finished orders by key."""
+    """Page 3 of 500 finished orders by key, from a rank index of them."""
     orders = read_table(spark, folder, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") == "F")
-    return ids.page_by_position(orders, "o_orderkey", 3, 500)
+    return rankindex.build(orders, "o_orderkey").page(3, 500)
 
 
 def order_page_after(spark, folder):
-    """The 500 finished orders after a key."""
+    """The 500 finished orders after a key, from a rank index of them."""
     orders = read_table(spark, folder, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") == "F")
-    return ids.page_after(orders, "o_orderkey", 777, 500)
+    return rankindex.build(orders, "o_orderkey").after(777, 500)
 
 
 VIEWERS = """viewers AS (SELECT user_id, arg_max(value, event_id) AS value, CAST(max(event_id) AS VARCHAR) AS seen

@@ -3,7 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import classify, dictpages, filters, graph, ids, joins, lexicon, segment, tags, upserts, weights
+from corpusloom.operators import classify, dictpages, filters, graph, ids, joins, lexicon, rankindex, segment, tags, upserts, weights
+from corpusloom.sources.state import store, stored
 
 DOCS = [("d1", "apple apple pear"), ("d2", "pear plum"), ("d3", "plum plum plum fig")]
 
@@ -347,6 +348,34 @@ def test_a_pager_that_prints_a_huge_number_makes_no_rows(spark):
     assert dictpages.listed_dicts(dictpages.read_list_pages(pages)).count() == 2
 
 
+def test_rank_index_gives_the_pages_of_a_sort(spark):
+    numbers = [n * n % 1009 for n in range(505)]
+    table = spark.createDataFrame([(n, f"r{n}") for n in sorted(set(numbers))], "n int, name string").repartition(3, "name")
+    wanted = sorted(set(numbers))
+    for parts in (1, 7):
+        index = rankindex.build(table, "n", parts)
+        for page, size in [(1, 10), (3, 100), (2, 252), (60, 10), (1, 10_000)]:
+            assert sorted(r.n for r in index.page(page, size).collect()) == wanted[(page - 1) * size:page * size], (parts, page, size)
+        for last, size in [(-1, 3), (wanted[40], 100), (wanted[-2], 5), (wanted[-1], 5)]:
+            assert [r.n for r in index.after(last, size).collect()] == [n for n in wanted if n > last][:size]
+        again = rankindex.opened(spark, index.folder, "n")
+        assert again.page(2, 100).columns == ["n", "name"] and again.page(2, 100).count() == 100
+    none = rankindex.build(table.limit(0), "n", 2)
+    assert none.page(1, 5).count() == 0 and none.after(3, 5).count() == 0
+
+
+def test_stored_state_gives_the_same_rows(spark, rows):
+    old = spark.createDataFrame([("tea", 1, "n", 3), ("pot", 2, "n", 1)], "term string, termid bigint, termtype string, termfreq bigint")
+    arrivals = spark.createDataFrame([("tea", "v", 1), ("cup", "n", 2), ("tea", None, 3)], "term string, termtype string, place int")
+    wanted = [("cup", 3, "n", 1), ("pot", 2, "n", 1), ("tea", 1, "v", 5)]
+    kept = store(old, "term", buckets=3)
+    for table in (old, kept):
+        assert rows(upserts.upsert_count(table, arrivals, "term", "place", ["termtype"], "termfreq", "termid")) == wanted
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    schema = "term string, termid bigint, termtype string, termfreq bigint"
+    assert rows(stored(spark, folder, schema, "term", 3)) == rows(old)
+
+
 def test_filters(spark, rows):
     df = spark.createDataFrame([("r1", "1", "x", "2.5"), ("r2", "b", "x", None), ("r3", "3", None, "1")], "k string, i string, s string, f string")
     assert rows(filters.select_where(df, {"s": "x"}, ["k"])) == [("r1",), ("r2",)]

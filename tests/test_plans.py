@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import joins, tags, weights
+from corpusloom.operators import joins, rankindex, tags, upserts, weights
+from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
 from corpusloom.queries import pages
@@ -73,6 +74,49 @@ def test_hot_keys_are_cut_into_slices(spark):
     assert max(plain) > 6_000 and max(sizes) < 4_500
 
 
+def above(text, wanted):
+    """The lines of a plan that stand above the first one that holds `wanted`, up to the join."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if wanted in line)
+    depth, found = len(lines[at]), []
+    indent = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    depth = indent(lines[at])
+    for line in reversed(lines[:at]):
+        if indent(line) < depth:
+            depth = indent(line)
+            found.append(line)
+            if "Join" in line:
+                break
+    return found
+
+
+def test_stored_state_is_not_shuffled(spark):
+    old = store(spark.range(100).select(F.col("id").alias("k"), F.lit(1).cast("bigint").alias("n"), F.lit("a").alias("a")), "k", buckets=5)
+    arrivals = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("b").alias("a"), F.lit(1).alias("place"))
+    mark = old.inputFiles()[0].rsplit("/", 2)[1]
+    for df in (
+        upserts.upsert_count(old, arrivals, "k", "place", ["a"], "n"), upserts.merge_columns(old, arrivals, "k", "place"),
+        upserts.add_counts(old, arrivals.select("k", F.col("place").alias("n")), "k", "n"),
+    ):
+        text = plan(df)
+        assert "FullOuter" in text and text.count("FileScan") == 1 and mark in text
+        path = above(text, "FileScan")
+        assert not [line for line in path if "Exchange" in line], text
+        assert text.count("Exchange") <= 1, text
+        # Stored again, the rows stay in their buckets.
+        again = store(df, "k", buckets=5)
+        assert len(again.inputFiles()) <= 5 and again.count() == 150
+
+
+def test_a_page_reads_the_files_it_overlaps(spark):
+    index = rankindex.build(spark.range(1000).withColumnRenamed("id", "n"), "n", 10)
+    page = index.page(5, 50)
+    text = plan(page)
+    assert "Sort" not in text and "Window" not in text and "Exchange" not in text
+    assert len(set(r.f for r in page.select(F.input_file_name().alias("f")).collect())) <= 2
+    assert page.rdd.getNumPartitions() <= 2 and page.count() == 50
+
+
 def test_few_splits_are_dealt_out(spark):
     assert dealt(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(10).repartition(9)

@@ -141,14 +141,12 @@ def stream_term_counts(spark, folder):
 
 
 def stream_tag_counts(spark, folder):
-    """Tag counts of a stream over `documents` as a running aggregation."""
-    name = "tags_" + spark.range(1).select(F.expr("replace(uuid(), '-', '')")).first()[0]
+    """Tag counts of a stream over `documents` as running totals, kept in versions of a shared folder."""
+    place = f"{shared_dir(spark)}/stream-{spark.range(1).select(F.expr('uuid()')).first()[0]}"
     docs = counters.arriving(spark, f"{folder}/documents.parquet", "lang string, source string")
     both = F.array(F.concat(F.lit("lang="), F.col("lang")), F.concat(F.lit("source="), F.col("source")))
-    place = f"{shared_dir(spark)}/{name}"
-    stream = counters.running_counts(docs, both).writeStream.outputMode("complete").format("memory").queryName(name)
-    stream.option("checkpointLocation", place).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).withColumnsRenamed({"term": "tag", "termfreq": "tagcount"})
+    counters.keep_totals(docs, f"{place}/totals", f"{place}/progress", both).awaitTermination()
+    return counters.kept_totals(spark, f"{place}/totals").withColumnsRenamed({"term": "tag", "termfreq": "tagcount"})
 
 
 def sql_source_counts(spark, folder):

@@ -16,6 +16,8 @@ def session(master: str | None = None, app: str = "corpusloom", **conf: str) ->
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Running totals of a whole vocabulary are kept on disk beside the heap.
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)

@@ -24,11 +24,46 @@ def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int |
 
 
 def running_counts(docs: DataFrame, terms: Column | None = None) -> DataFrame:
-    """(term, termfreq) as a streaming aggregation; in `complete` mode its state holds the whole vocabulary."""
+    """(term, termfreq) as a streaming aggregation; its state holds the whole vocabulary, spread over the partitions."""
     terms = words("text") if terms is None else terms
     return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("termfreq"))
 
 
+def keep_totals(
+    docs: DataFrame, folder: str, checkpoint: str, terms: Column | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Start a query that keeps running totals: each batch writes the terms whose total it changed, to a version of its own.
+
+    The totals are the state of the stream, so a version holds as many rows as the batch has terms, and no batch reads the
+    versions before it. A batch that is run again after a failure has the same number and replaces its version.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/v={number}")
+
+    writer = running_counts(docs, terms).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def kept_totals(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """(term, termfreq) after the last version, or after the version `upto`: of each term the row of its last version."""
+    rows = spark.read.schema("term string, termfreq bigint, v bigint").option("basePath", folder).parquet(folder)
+    rows = rows if upto is None else rows.filter(F.col("v") <= upto)
+    return rows.groupBy("term").agg(F.max_by("termfreq", "v").alias("termfreq"))
+
+
+def fold_totals(spark: SparkSession, folder: str, into: str, upto: int) -> DataFrame:
+    """Write the totals after version `upto` and all later versions to the folder `into`, which then replaces `folder` for readers.
+
+    The folded versions become one row per term, so that reading does not cost more with every batch. A stream that goes on
+    is started with the same checkpoint and the new folder.
+    """
+    kept_totals(spark, folder, upto).write.mode("overwrite").parquet(f"{into}/v={upto}")
+    later = spark.read.schema("term string, termfreq bigint, v bigint").option("basePath", folder).parquet(folder).filter(F.col("v") > upto)
+    later.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("v").parquet(into)
+    return kept_totals(spark, into)
+
+
 def log_counts(
     docs: DataFrame, log: str, checkpoint: str, terms: Column | None = None, trigger: dict | None = None
 ) -> StreamingQuery:

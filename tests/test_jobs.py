@@ -190,3 +190,43 @@ def test_stream_counts(spark, tmp_path, rows):
     run()
     run()
     assert rows(counters.total_counts(spark, log)) == [("a", 2), ("b", 2), ("c", 2)]
+
+
+@pytest.mark.parametrize("before_write", [True, False])
+def test_running_totals_go_on_after_a_stop_between_batches(spark, tmp_path, rows, monkeypatch, before_write):
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import DataFrameWriter
+
+    folder, totals, schema = str(tmp_path / "docs"), str(tmp_path / "totals"), "doc_id bigint, text string"
+    for n, text in enumerate(["a b a", "b c", "c d a", None]):
+        spark.createDataFrame([(n, text)], schema).coalesce(1).write.mode("append").parquet(folder)
+    plain, lost = DataFrameWriter.parquet, []
+
+    def failing(self, path, *args, **kwargs):
+        stops = path.endswith("v=1") and not lost
+        if not (stops and before_write):
+            plain(self, path, *args, **kwargs)
+        if stops:
+            lost.append(path)
+            raise RuntimeError("executor and driver are gone")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+
+    def run(into=totals):
+        stream = counters.arriving(spark, folder, schema, files_per_batch=1)
+        counters.keep_totals(stream, into, str(tmp_path / "progress")).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert lost
+    run()
+    assert rows(counters.kept_totals(spark, totals)) == [("a", 3), ("b", 2), ("c", 2), ("d", 1)]
+    assert counters.kept_totals(spark, totals, 0).agg(F.sum("termfreq")).first()[0] == 3
+    # Folded versions give the same totals, and the stream goes on behind them.
+    into = str(tmp_path / "folded")
+    assert rows(counters.fold_totals(spark, totals, into, 1)) == rows(counters.kept_totals(spark, totals))
+    spark.createDataFrame([(9, "d e")], schema).coalesce(1).write.mode("append").parquet(folder)
+    run(into)
+    assert rows(counters.kept_totals(spark, into)) == [("a", 3), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
+    batch = spark.read.schema(schema).parquet(folder).filter("text is not null")
+    assert rows(counters.kept_totals(spark, into)) == rows(counters.running_counts(batch))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.keys import _col
 from corpusloom.functions.text import kept_class
+from corpusloom.operators import automaton
 from corpusloom.operators.joins import spread_join
+from corpusloom.session import ship
 
-# A lexicon up to this size is small enough to be copied to every task (terms of 16 bytes: some 100 MB in Python).
+# A lexicon up to this size is small enough to be copied to every executor (24 bytes a state: some 200 MB for terms of 16 bytes).
 BROADCAST_TERMS = 1_500_000
 
 
@@ -34,40 +37,6 @@ def letter_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     return docs.select(doc, F.posexplode(runs).alias("run", "letters"))
 
 
-def longest_cut(letters: str, freq_of: Callable[[int, int], float | None], longest: int) -> list[tuple[int, int]]:
-    """Forward maximum matching: at each place the longest word, or one letter when none starts there."""
-    cuts, start = [], 0
-    while start < len(letters):
-        end = min(len(letters), start + longest)
-        while end > start + 1 and freq_of(start, end) is None:
-            end -= 1
-        cuts.append((start, end))
-        start = end
-    return cuts
-
-
-def likeliest_cut(
-    letters: str, freq_of: Callable[[int, int], float | None], longest: int, total: float
-) -> list[tuple[int, int]]:
-    """The cut with the greatest product of word shares; an unknown letter counts as a word seen half a time."""
-    size = len(letters)
-    best = [(-math.inf, size)] * size + [(0.0, size)]
-    for start in range(size - 1, -1, -1):
-        for end in range(start + 1, min(size, start + longest) + 1):
-            freq = freq_of(start, end)
-            if freq is None and end > start + 1:
-                continue
-            score = math.log((freq or 0.5) / total) + best[end][0]
-            # On a tie the longer first word wins.
-            if score >= best[start][0]:
-                best[start] = (score, end)
-    cuts, start = [], 0
-    while start < size:
-        cuts.append((start, best[start][1]))
-        start = best[start][1]
-    return cuts
-
-
 def segment(
     docs: DataFrame,
     lexicon: DataFrame,
@@ -79,8 +48,10 @@ def segment(
 ) -> DataFrame:
     """(doc, pos, term, termtype): the words of each document in order.
 
-    `lexicon(term, termtype, freq)` is read by `one_per_term`. It is copied to the tasks when it has at most
-    `broadcast_terms` different terms, and joined to the candidate words of the text otherwise; both ways give the same cuts.
+    `longest` takes at each place the longest word, or one letter when none starts there; `likeliest` the cut with the greatest
+    product of word shares, in which an unknown letter counts as a word seen half a time and the longer first word wins a tie.
+    `lexicon(term, termtype, freq)` is read by `one_per_term`. As an automaton it is copied to each executor when it has at
+    most `broadcast_terms` different terms, and joined to the candidate words of the text otherwise; both ways give the same cuts.
     """
     if method not in ("longest", "likeliest"):
         raise ValueError("method is longest or likeliest")
@@ -91,42 +62,24 @@ def segment(
     longest, total = size["longest"] or 1, float(size["total"] or 1) + 1.0
     runs = letter_runs(docs, doc, text)
     if size["terms"] <= broadcast_terms:
-        cut_runs = _with_copied_lexicon(runs, lexicon, doc, method, longest, total)
+        cut_runs = _with_copied_lexicon(runs, lexicon, doc, method, total)
     else:
         cut_runs = _with_joined_lexicon(runs, lexicon, doc, method, longest, total)
     return _words(cut_runs, doc, unknown_class)
 
 
-def _cutter(method: str, longest: int, total: float) -> Callable:
-    if method == "longest":
-        return lambda letters, freq_of: longest_cut(letters, freq_of, longest)
-    return lambda letters, freq_of: likeliest_cut(letters, freq_of, longest, total)
-
-
-def _with_copied_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, longest: int, total: float) -> DataFrame:
-    rows = lexicon.select("term", "termtype", "freq").toPandas()
-    known = runs.sparkSession.sparkContext.broadcast(
-        {t: (float(f), c) for t, c, f in zip(rows["term"], rows["termtype"], rows["freq"])}
-    )
-    cutter = _cutter(method, longest, total)
+def _with_copied_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, total: float) -> DataFrame:
+    name, kinds = automaton.shipped(lexicon)
 
-    def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = known.value
-        done: dict[str, tuple[list[str], list[str | None]]] = {}
+    def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = automaton.loaded(name)
         for batch in batches:
-            if len(done) > 100_000:
-                done.clear()
-            terms, classes = [], []
-            for letters in batch["letters"]:
-                if letters not in done:
-                    cuts = cutter(letters, lambda i, j: words.get(letters[i:j], (None,))[0])
-                    found = [letters[i:j] for i, j in cuts]
-                    done[letters] = (found, [words.get(w, (None, None))[1] for w in found])
-                terms.append(done[letters][0])
-                classes.append(done[letters][1])
-            yield batch[[doc, "run"]].assign(terms=terms, classes=classes)
+            # Each different run of a batch is walked once.
+            letters = batch.column(2).dictionary_encode()
+            found = automaton.cut_runs(letters.dictionary.to_pylist(), lambda a, b, codes, left: known.found(codes, left), method, total, kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[f.take(letters.indices) for f in found]], names=[doc, "run", "terms", "classes"])
 
-    return runs.mapInPandas(cut_batches, _schema(runs, doc))
+    return ship(runs.select(doc, "run", "letters")).mapInArrow(cut_batches, _schema(runs, doc))
 
 
 def _with_joined_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, longest: int, total: float) -> DataFrame:
@@ -137,28 +90,31 @@ def _with_joined_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method:
         doc, "run", "start", "size", F.substr("letters", F.col("start") + 1, F.col("size")).alias("term")
     )
     met = spread_join(candidates, lexicon.select("term", "termtype", "freq"), "term")
-    word = F.struct("start", (F.col("start") + F.col("size")).alias("end"), F.col("freq").cast("double").alias("freq"), "termtype")
-    # One group is one run of letters: its known words, at most `longest` per letter.
-    known = met.groupBy(doc, "run").agg(F.collect_list(word).alias("found"))
-    found = runs.join(known, [doc, "run"], "left")
-    cutter = _cutter(method, longest, total)
+    word = F.struct("size", "start", F.col("freq").cast("double").alias("freq"), "termtype")
+    # One group is one run of letters: its known words, at most `longest` per letter, shorter ones first.
+    known = met.groupBy(doc, "run").agg(F.sort_array(F.collect_list(word)).alias("found"))
+    found = runs.join(known, [doc, "run"], "left").select(doc, "run", "letters", "found")
 
-    def cut_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, classes = [], []
-            for letters, found_words in zip(batch["letters"], batch["found"]):
-                words = {(w["start"], w["end"]): (w["freq"], w["termtype"]) for w in _some(found_words)}
-                cuts = cutter(letters, lambda i, j: words.get((i, j), (None,))[0])
-                terms.append([letters[i:j] for i, j in cuts])
-                classes.append([words.get(c, (None, None))[1] for c in cuts])
-            yield batch[[doc, "run"]].assign(terms=terms, classes=classes)
-
-    return found.mapInPandas(cut_batches, _schema(runs, doc))
-
-
-def _some(found_words) -> list:
-    """A run without a known word has no list."""
-    return [] if found_words is None else list(found_words)
+            letters, lists = batch.column(2).to_pylist(), batch.column(3)
+            fields = pa.compute.list_flatten(lists)
+            of_run = pa.compute.list_parent_indices(lists).to_numpy()
+            classes = fields.field("termtype").dictionary_encode()
+            numbers = [fields.field(c).to_numpy(zero_copy_only=False) for c in ("start", "size", "freq")]
+            number = np.array(classes.indices.fill_null(-1), np.int64)
+
+            def find(a: int, b: int, codes: np.ndarray, left: np.ndarray):
+                mine = (of_run >= a) & (of_run < b)  # noqa: B023
+                begin = np.cumsum([0, *map(len, letters[a:b])])[of_run[mine] - a]  # noqa: B023
+                start, size, freq = (n[mine] for n in numbers)  # noqa: B023
+                order = np.argsort(size, kind="stable")
+                return (begin + start)[order], size[order].astype(np.int64), freq[order], number[mine][order]  # noqa: B023
+
+            cut = automaton.cut_runs(letters, find, method, total, classes.dictionary.to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cut], names=[doc, "run", "terms", "classes"])
+
+    return ship(found).mapInArrow(cut_batches, _schema(runs, doc))
 
 
 def _schema(runs: DataFrame, doc: str) -> str:

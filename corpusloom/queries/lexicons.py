@@ -217,6 +217,20 @@ CUT = """pieces AS (SELECT word, 0 AS start, (SELECT coalesce(max(n), 1) FROM (V
     UNION ALL SELECT word, start + size, (SELECT coalesce(max(n), 1) FROM (VALUES (1), (2), (3), (4), (5)) v(n)
         WHERE n <= length(word) - start - size AND substr(word, start + size + 1, n) IN (SELECT term FROM stems))
     FROM pieces WHERE start + size < length(word))"""
+# Each distinct word from its last letter back: the best logarithm of shares, in millionths, of what begins at each place,
+# and the size of its first stem; then the sizes are followed from the first letter on.
+LIKELIEST = """whole AS (SELECT sum(freq) + 1.0 AS total FROM stems), every AS (SELECT DISTINCT term AS word FROM tokens),
+    choices AS (SELECT word, start, n, CAST(round(ln((CASE WHEN freq > 0 THEN freq ELSE 0.5 END) / (SELECT total FROM whole)) * 1000000) AS BIGINT) AS w
+        FROM (SELECT word, unnest(range(length(word))) AS start FROM every), (VALUES (1), (2), (3), (4), (5)) v(n)
+        LEFT JOIN stems ON term = substr(word, start + 1, n) WHERE start + n <= length(word) AND (n = 1 OR term IS NOT NULL)),
+    steps AS (SELECT word, start, {'best': []::BIGINT[], 'sizes': []::BIGINT[], 'next': list({'s': w, 'n': n::BIGINT})} AS step FROM choices GROUP BY word, start),
+    walks AS (SELECT word, list(step ORDER BY start DESC) AS steps FROM steps GROUP BY word),
+    chosen AS (SELECT word, list_reduce(steps, lambda done, step: list_transform(
+            [list_max(list_transform(step.next, lambda c: {'s': c.s + done.best[c.n], 'n': c.n}))],
+            lambda b: {'best': list_prepend(b.s, done.best), 'sizes': list_prepend(b.n, done.sizes), 'next': step.next})[1],
+        {'best': [0::BIGINT], 'sizes': []::BIGINT[], 'next': [{'s': 0::BIGINT, 'n': 0::BIGINT}]}).sizes AS sizes FROM walks),
+    pieces AS (SELECT word, sizes, 0::BIGINT AS start, sizes[1] AS size FROM chosen
+        UNION ALL SELECT word, sizes, start + size, sizes[start + size + 1] FROM pieces WHERE start + size < len(sizes))"""
 PARTS = """listed AS (SELECT CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) AS brand, p_partkey // 100 + 1 AS page,
     p_partkey AS dicid, p_name || ' & co' AS name, CAST(p_size * 100 AS BIGINT) AS "count" FROM part),
     firsts AS (SELECT brand, CASE WHEN max("count") > 2000 THEN 'brand' || brand ELSE '' END AS category FROM listed
@@ -246,7 +260,10 @@ QUERIES = {
         SELECT doc_id, substr(word, start + 1, size) AS term FROM tokens JOIN pieces ON tokens.term = word)
         SELECT doc_id, found.term AS term, coalesce(termtype, '?') AS termtype, count(*) AS n
         FROM found LEFT JOIN stems ON found.term = stems.term GROUP BY 1, 2, 3"""),
-    "segment_likeliest": (segment_likeliest, None),
+    "segment_likeliest": (segment_likeliest, f"""WITH RECURSIVE {STEMS}, {LIKELIEST}, found AS (
+        SELECT doc_id, substr(word, start + 1, size) AS term FROM tokens JOIN pieces ON tokens.term = word)
+        SELECT doc_id, found.term AS term, coalesce(termtype, 'n') AS termtype, count(*) AS n
+        FROM found LEFT JOIN stems ON found.term = stems.term GROUP BY 1, 2, 3"""),
     "pos_filter": (pos_filter, rf"""WITH {STEMS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, tokens.term AS term,
         coalesce(termtype, 'n') AS termtype FROM tokens LEFT JOIN stems ON tokens.term = stems.term
         WHERE NOT regexp_matches(coalesce(termtype, 'n'), '^(t|f|r|m|q|d|p|c|u|e|y|o|h|k|x|w)')"""),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +53,18 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """`df`, once the workers of its session can import this package, which need not lie on their machines."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_corpusloom_shipped", False):
+        package = Path(__file__).resolve().parent
+        archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip"))
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        # The driver serves it to all workers; nothing else reads the file.
+        context.addPyFile(archive)
+        context._corpusloom_shipped = True
+    return df

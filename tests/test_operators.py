@@ -279,24 +279,51 @@ def test_segmentation_of_unseen_and_repeated_terms(spark):
         assert [(r.term, r.termtype) for r in got] == [("ab", "v"), ("c", "n"), ("abd", "a")]
 
 
-def test_likeliest_cut_against_brute_force():
+def every_cut(letters, words, longest):
+    if not letters:
+        yield []
+    for n in range(1, min(longest, len(letters)) + 1):
+        if letters[:n] in words or n == 1:
+            for rest in every_cut(letters[n:], words, longest):
+                yield [letters[:n], *rest]
+
+
+def test_cuts_against_brute_force(spark):
     import itertools
 
-    words = {"ab": 5.0, "a": 3.0, "bc": 4.0, "abc": 1.0, "cab": 2.0, "c": 1.0}
-    total = 17.0
-
-    def every(s):
-        if not s:
-            yield []
-        for n in range(1, min(3, len(s)) + 1):
-            if s[:n] in words or n == 1:
-                for rest in every(s[n:]):
-                    yield [s[:n]] + rest
-
-    for letters in map("".join, itertools.product("abcx", repeat=5)):
-        score = lambda cut: sum(math.log((words.get(w) or 0.5) / total) for w in cut)
-        got = [letters[i:j] for i, j in segment.likeliest_cut(letters, lambda i, j: words.get(letters[i:j]), 3, total)]
-        assert score(got) == pytest.approx(max(map(score, every(letters))))
+    words = {"ab": 5, "a": 3, "bc": 4, "abc": 1, "cab": 2, "c": 1, "bb": 0, "cc": 1}
+    total = sum(words.values()) + 1.0
+    lexicon_rows = spark.createDataFrame([(t, t[:1], f) for t, f in words.items()], "term string, termtype string, freq bigint")
+    texts = ["".join(t) for n in (1, 2, 5, 6) for t in itertools.product("abcx", repeat=n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    score = lambda cut: sum(round(math.log((words.get(w) or 0.5) / total) * 1e6) for w in cut)
+    for method in ("longest", "likeliest"):
+        both = []
+        for limit in (100, 1):
+            got = {}
+            for r in segment.segment(docs, lexicon_rows, method, broadcast_terms=limit).orderBy("doc_id", "pos").collect():
+                got.setdefault(r.doc_id, []).append((r.term, r.termtype))
+            both.append(got)
+        assert both[0] == both[1] and len(both[0]) == len(texts)
+        for at, text in enumerate(texts):
+            cut = [t for t, _ in both[0][at]]
+            every = list(every_cut(text, words, 3))
+            # The greatest by score, then by sizes from the left; longest matching is the greatest by sizes alone.
+            rank = lambda c: ([score(c)] if method == "likeliest" else [], [len(w) for w in c])  # noqa: B023, E731
+            assert cut == max(every, key=rank), (method, text, cut)
+            assert all(k == (t[:1] if t in words else "n") for t, k in both[0][at])
+
+
+def test_cuts_in_slices_are_the_same(spark, monkeypatch):
+    from corpusloom.operators import automaton
+    import numpy as np
+
+    known = automaton.Automaton(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+    runs = ["abc", "d", "", "efgh"] * 5
+    find = lambda a, b, letters, left: known.found(letters, left)
+    whole = automaton.cut_runs(runs, find, "likeliest", 2.0, [])
+    monkeypatch.setattr(automaton, "SLICE", 4)
+    assert automaton.cut_runs(runs, find, "likeliest", 2.0, []) == whole and whole[0].to_pylist() == [list(r) for r in runs]
 
 
 def test_keep_terms(spark, rows):

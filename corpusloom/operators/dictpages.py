@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom import fixed_values as fixed
-from corpusloom.functions.html import attribute, elements, first_element, leading_title, page_title, plain_text, without_code
-from corpusloom.functions.keys import ids_in_url
+from corpusloom.functions.html import leading_title
+from corpusloom.functions.keys import _col, ids_in_url
+from corpusloom.functions.tagevents import LIST_ARROW, LIST_TYPE, read_list_page
 from corpusloom.functions.text import map_characters
+from corpusloom.session import ship
 
 
 def page_numbers(url: Column | str) -> Column:
@@ -15,35 +18,28 @@ def page_numbers(url: Column | str) -> Column:
     return ids_in_url(url, r"/dict/cate/index/(\d+)/download/(\d+)", "category_id", "page")
 
 
-def shown_dicts(html: Column | str) -> Column:
-    """Array of (dicid, name, count) of the blocks of a page that link to a dictionary; null where a number is none."""
+def list_fields(html: Column | str) -> Column:
+    """Struct (title, dicts, pager) of a list page, read in one pass; `dicts` are the blocks that link to a dictionary or elsewhere."""
 
-    def entry(block: Column) -> Column:
-        title = F.coalesce(F.try_element_at(elements(block, fixed.DICT_TITLE), F.lit(1)), F.lit(""))
-        href = attribute(F.regexp_extract(title, r"(?i)<a\s[^>]*>", 0), "href")
-        cells = elements(block, fixed.DICT_CELL)
-        return F.struct(
-            href.alias("href"),
-            F.replace(href, F.lit(fixed.DICT_LINK_PREFIX), F.lit("")).try_cast("bigint").alias("dicid"),
-            plain_text(title).alias("name"),
-            plain_text(F.try_element_at(cells, F.lit(2))).try_cast("bigint").alias("count"),
-        )
+    @F.arrow_udf(LIST_TYPE)
+    def fields(pages: pa.Array) -> pa.Array:
+        return pa.array([read_list_page(page) for page in pages.to_pylist()], LIST_ARROW)
 
-    entries = F.transform(elements(html, fixed.DICT_BLOCK), entry)
-    linked = F.filter(entries, lambda e: F.startswith(e["href"], F.lit(fixed.DICT_LINK_PREFIX)))
-    return F.transform(linked, lambda e: F.struct(e["dicid"].alias("dicid"), e["name"].alias("name"), e["count"].alias("count")))
+    return fields(_col(html))
 
 
-def last_page(html: Column | str, most_pages: int | None = None) -> Column:
+def shown_dicts(fields: Column | str) -> Column:
+    """Array of (dicid, name, count) of the blocks of a read page that link to a dictionary; null where a number is none."""
+    linked = F.filter(_col(fields)["dicts"], lambda d: F.startswith(d["href"], F.lit(fixed.DICT_LINK_PREFIX)))
+    return F.transform(linked, lambda d: F.struct(
+        F.replace(d["href"], F.lit(fixed.DICT_LINK_PREFIX), F.lit("")).try_cast("bigint").alias("dicid"),
+        d["name"].alias("name"), d["count"].try_cast("bigint").alias("count"),
+    ))
+
+
+def last_page(fields: Column | str, most_pages: int | None = None) -> Column:
     """Greatest page number of the pager, but no more than `most_pages` where that is given; 1 without a pager."""
-    pager = F.coalesce(first_element(html, fixed.PAGER_SELECTOR), F.lit(""))
-    anchors = F.regexp_extract_all(pager, F.lit(r"(?is)(<a\s.*?</a\s*>)"), F.lit(1))
-    wanted = F.filter(
-        anchors,
-        lambda a: F.startswith(attribute(F.regexp_extract(a, r"(?i)^<a\s[^>]*>", 0), "href"), F.lit(fixed.PAGER_LINK_PREFIX))
-        & ~plain_text(a).isin(fixed.PAGER_SKIPPED),
-    )
-    numbers = F.transform(wanted, lambda a: plain_text(a).try_cast("int"))
+    numbers = F.transform(_col(fields)["pager"], lambda n: n.try_cast("int"))
     last = F.coalesce(F.array_max(numbers), F.lit(1))
     return last if most_pages is None else F.least(last, F.lit(most_pages))
 
@@ -55,13 +51,13 @@ def read_list_pages(
 
     `most_pages` bounds the pages of a category that are followed; without it the pager alone decides.
     """
-    html = without_code(map_characters("html", characters) if characters else F.col("html"))
-    read = pages.select("url", page_numbers("url").alias("_numbers"), html.alias("_html")).select(
+    html = map_characters("html", characters) if characters else F.col("html")
+    read = ship(pages).select("url", page_numbers("url").alias("_numbers"), list_fields(html).alias("_read")).select(
         "url",
         "_numbers.*",
-        leading_title(page_title("_html")).alias("category"),
-        shown_dicts("_html").alias("_shown"),
-        last_page("_html", most_pages).alias("last_page"),
+        leading_title(F.col("_read.title")).alias("category"),
+        shown_dicts("_read").alias("_shown"),
+        last_page("_read", most_pages).alias("last_page"),
     )
     counted = F.filter("_shown", lambda d: d["count"] > above)
     return read.withColumn("dicts", counted).withColumn(
@@ -71,7 +67,8 @@ def read_list_pages(
 
 def rejected_dicts(pages: DataFrame) -> DataFrame:
     """(url, name, reason): blocks of list pages whose id or count is no number."""
-    shown = pages.select("url", F.explode(shown_dicts(without_code("html"))).alias("d"))
+    read = ship(pages).select("url", list_fields("html").alias("_read"))
+    shown = read.select("url", F.explode(shown_dicts("_read")).alias("d"))
     bad = shown.filter(F.col("d.dicid").isNull() | F.col("d.count").isNull())
     reason = F.when(F.col("d.dicid").isNull(), "id is no number").otherwise("count is no number")
     return bad.select("url", "d.name", reason.alias("reason"))

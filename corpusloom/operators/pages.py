@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom import fixed_values as fixed
-from corpusloom.functions.html import (
-    content_text,
-    first_element,
-    meta_content,
-    page_links,
-    page_title,
-    plain_text,
-    without_code,
-)
+from corpusloom.functions.html import _any
+from corpusloom.functions.keys import _col, canonical_url
+from corpusloom.functions.tagevents import PAGE_ARROW, PAGE_TYPE, read_page
+from corpusloom.session import ship
 
 
 @dataclass
@@ -28,36 +24,31 @@ class PageRules:
     link_prefixes: list[str] = field(default_factory=list)
 
 
+def page_fields(html: Column | str, rules: PageRules) -> Column:
+    """Struct (content, title, tags, keyword, hrefs) of a page, read in one pass."""
+    content, tags = list(rules.content), rules.tags
+
+    @F.arrow_udf(PAGE_TYPE)
+    def fields(pages: pa.Array) -> pa.Array:
+        return pa.array([read_page(page, content, tags, "Keywords") for page in pages.to_pylist()], PAGE_ARROW)
+
+    return fields(_col(html))
+
+
 def read_pages(pages: DataFrame, rules: PageRules, keep: list[str] | None = None) -> DataFrame:
     """Adds content, title, tags, keyword and hrefs to pages with an `html` column, which stays only if in `keep`.
 
     A page without content has none of the others either.
     """
     kept = keep if keep is not None else [c for c in pages.columns if c != "html"]
-    clean = pages.select(*kept, without_code("html").alias("_html"))
-    # The content decides over the rest, so it is found first and once.
-    found = clean.withColumn("content", content_text("_html", rules.content))
-    some = F.col("content") != ""
-
-    def if_some(value, empty):
-        return F.when(some, value).otherwise(empty)
-
-    tags = plain_text(F.coalesce(_first(rules.tags), F.lit("")))
-    no_links = F.array().cast("array<string>")
-    return found.select(
-        *kept,
-        "content",
-        if_some(page_title("_html", rules.title_suffix), F.lit("")).alias("title"),
-        if_some(tags, F.lit("")).alias("tags"),
-        if_some(meta_content("_html", "Keywords"), F.lit("")).alias("keyword"),
-        if_some(page_links("_html", rules.link_prefixes), no_links).alias("hrefs"),
+    read = ship(pages).select(*kept, page_fields("html", rules).alias("_page"))
+    title = F.replace(F.col("_page.title"), F.lit(rules.title_suffix), F.lit("")) if rules.title_suffix else F.col("_page.title")
+    wanted = F.filter(F.col("_page.hrefs"), lambda h: _any(h, rules.link_prefixes))
+    return read.select(
+        *kept, "_page.content", title.alias("title"), "_page.tags", "_page.keyword", F.transform(wanted, canonical_url).alias("hrefs")
     )
 
 
-def _first(selector: str):
-    return first_element("_html", selector)
-
-
 def has_content(read: DataFrame) -> DataFrame:
     return read.filter(F.col("content") != "")
 

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.session import shared_dir
+from corpusloom.session import shared_dir, ship as session_ship
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys of a filter are spread over blocks of this many bits, one row per block.
@@ -32,19 +28,50 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of one row of a table of bits, 64 to each long.
+TABLE_BLOCK = 1 << 12
+
+
+def bit_table(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST_BITS) -> tuple[DataFrame, int]:
+    """(_bit_block, _bits): a bitmap that has a bit set for every key, made by Spark's own functions, and its number of bits.
+
+    At most `most` bits, 32 MB, whatever the keys, so that it can be copied to all tasks; beyond that more rows pass `may_have`.
+    """
+    size = TABLE_BLOCK
+    while size < min(most, per_key * max(keys.count(), 1)):
+        size *= 2
+    slot = F.pmod(F.xxhash64(column), F.lit(size))
+    bits = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("long")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))).alias("bits")
+    )
+    longs = TABLE_BLOCK // 64
+    table = bits.groupBy((F.shiftright("long", (longs - 1).bit_length())).alias("_bit_block")).agg(
+        F.map_from_entries(F.collect_list(F.struct((F.col("long") % longs).cast("int"), "bits"))).alias("_bits")
+    )
+    return staged(table), size
+
+
+def may_have(rows: DataFrame, column: str, table: DataFrame, size: int, flag: str) -> DataFrame:
+    """`rows` with `flag`: false where `column` is surely none of the keys of the table; no row moves for it."""
+    slot = F.pmod(F.xxhash64(column), F.lit(size))
+    block = F.shiftright(slot, TABLE_BLOCK.bit_length() - 1)
+    long = F.shiftright(slot, 6) % (TABLE_BLOCK // 64)
+    met = rows.withColumn("_bit_block", block).join(F.broadcast(table), "_bit_block", "left")
+    bit = F.getbit(F.try_element_at("_bits", long.cast("int")), (slot % 64).cast("int")) == 1
+    return met.withColumn(flag, F.coalesce(bit, F.lit(False))).drop("_bit_block", "_bits")
+
+
+def free_name(wanted: str, rows: DataFrame) -> str:
+    """`wanted`, with marks put before it until `rows` has no column of that name."""
+    taken = {c.lower() for c in rows.columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def ship(df: DataFrame) -> DataFrame:
     """`df`, once the workers of its session can import this package, which need not lie on their machines."""
-    context = df.sparkSession.sparkContext
-    if not getattr(context, "_corpusloom_shipped", False):
-        package = Path(__file__).resolve().parent.parent
-        archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip"))
-        with zipfile.ZipFile(archive, "w") as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        # The driver serves it to all workers; nothing else reads the file.
-        context.addPyFile(archive)
-        context._corpusloom_shipped = True
-    return df
+    return session_ship(df)
 
 
 def ascii_lower(text: Column) -> Column:

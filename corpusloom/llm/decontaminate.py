@@ -36,8 +36,8 @@ def prefix_tokens(windows: DataFrame, documents: DataFrame, text: str = "text")
     such window. Words are counted over all documents; a window with a word that no document has is left out.
     """
     wanted = windows.select("window", "_size", F.posexplode(F.split("window", " ")).alias("_offset", "token"))
+    # Counted within each task before any word is sent, and joined afterwards: a semi-join would be moved below the counts.
     counts = documents.select(F.explode(words_of(full_text(text))).alias("token")).groupBy("token").agg(F.count("*").alias("_n"))
-    counts = counts.join(wanted.select("token").distinct(), "token", "left_semi")
     known = wanted.join(counts, "token").groupBy("window", "_size").agg(
         F.count("*").alias("_found"), F.min(F.struct("_n", "token", "_offset")).alias("_rare")
     )

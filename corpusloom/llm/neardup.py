@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.llm.common import WordHashes, full_text, key_filter, mixed, row_batches, runs_of, ship, staged
 from corpusloom.llm.graph import components
@@ -125,6 +125,22 @@ def links_within(ids: np.ndarray, registers: np.ndarray, sets: list[np.ndarray],
     return links
 
 
+def forest(ids: np.ndarray, links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(id, least id of its component) of all ids that have a link."""
+    parent: dict[int, int] = {}
+
+    def top(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        one, two = sorted((top(a), top(b)))
+        parent[two] = one
+    return [(i, top(i)) for i in list(parent)]
+
+
 def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text", width: int = 5, percent: int = 85) -> DataFrame:
     """(row, n_shingles, component_id, kept) per row of `documents`.
 
@@ -132,31 +148,63 @@ def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text
     is one shingle. Texts without words, and null ones, have none and are linked with nothing. Rows of equal sets are one
     class and never meet each other; classes that share a band form clusters, and each cluster is compared in tasks that
     hold a bounded number of bytes, larger ones block against block. `component_id` is the least id reachable, `kept` the
-    rows that have it. Rows with the same id count as linked; rows without an id are a component of their own, without a
-    component_id, and are kept. No documents give no rows.
+    rows that have it. Texts alone are linked: of rows that share an id each has the component of its text, and rows without
+    an id are linked like others; where no row of a component has an id, there is no component_id and all are kept.
+    Columns beyond the two play no part. No documents give no rows.
     """
+    found = _components(documents, row, text, width, percent)
+    component = F.coalesce("component", "row")
+    return found.select("row", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("row") == component, component.isNull()).alias("kept"))
+
+
+def _row_key(row: str, text: str) -> Column:
+    return F.xxhash64(F.col(row).cast("bigint"), full_text(text))
+
+
+def one_of_each(documents: DataFrame, row: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows and columns of `documents`, one row of each component of near duplicates: that of the least id.
+
+    A row that is there twice, id and text, stays once. Rows without an id stay if no row of their component has one, and
+    then one of them; those without words and id are linked with nothing and all stay.
+    """
+    found = _components(documents, row, text, width, percent)
+    nobody = F.col("class").isNull() & F.col("row").isNull()
+    group = F.when(nobody, F.struct(F.lit(None).cast("bigint").alias("root"), F.lit(None).cast("bigint").alias("k"))).otherwise(
+        F.struct("root", F.when(F.col("root").isNull(), F.col("k")).alias("k"))
+    )
+    # Texts don't take part in the choice.
+    chosen = staged(found.filter(~nobody).groupBy(group.alias("g")).agg(F.min(F.struct(F.col("row").isNull().alias("no_id"), "row", "k")).alias("best")).select(F.col("best.k").alias("_row_key")))
+    keyed = documents.withColumn("_row_key", _row_key(row, text))
+    some = F.col(row).isNotNull() | (F.trim(F.translate(full_text(text), "\t\n\x0b\x0c\r", "     ")) != "")
+    kept = keyed.filter(some).join(chosen, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+    return kept.unionByName(keyed.filter(~some)).select(*documents.columns)
+
+
+def _components(documents: DataFrame, row: str, text: str, width: int, percent: int) -> DataFrame:
+    """(row, k, n, class, root, component) per row: its key, class of equal sets, root of the linked classes and the least id of these; null without words."""
     ship(documents)
-    texts = documents.select(F.col(row).cast("bigint").alias("row"), full_text(text).alias("text"))
+    texts = documents.select(F.col(row).cast("bigint").alias("row"), _row_key(row, text).alias("k"), full_text(text).alias("text"))
 
     def sketched(batches):
         hashes, sketcher = WordHashes(), Sketcher()
         for batch in row_batches(batches):
             n, s1, s2, registers = [], [], [], []
-            for one in batch.column(1).to_pylist():
+            for one in batch.column(2).to_pylist():
                 values = shingles(one.encode().lower().split(), hashes, width)
                 n.append(len(values))
-                s1.append(int(values.sum(dtype=np.uint64)))
-                s2.append(int(mixed(values).sum(dtype=np.uint64)))
+                for sums, value in zip((s1, s2), _digest(values)):
+                    sums.append(value)
                 registers.append(sketcher.of(values).tobytes() if len(values) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.array(registers, pa.binary())],
-                ["row", "n", "s1", "s2", "registers"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), *[pa.array(np.array(s, np.uint64).view(np.int64)) for s in (s1, s2)], pa.array(registers, pa.binary())],
+                ["row", "k", "n", "s1", "s2", "registers"],
             )
 
-    sketches = staged(texts.mapInArrow(sketched, "row bigint, n bigint, s1 bigint, s2 bigint, registers binary"))
+    sketches = staged(texts.mapInArrow(sketched, "row bigint, k bigint, n bigint, s1 bigint, s2 bigint, registers binary"))
+    # A class has a number of its own, as one id may have several texts; one of its rows stands for it.
     classes = staged(
-        sketches.filter("n > 0 and row is not null").groupBy("n", "s1", "s2")
-        .agg(F.min("row").alias("class"), F.first("registers").alias("registers"))
+        sketches.filter("n > 0").groupBy("n", "s1", "s2")
+        .agg(F.min("k").alias("k"), F.min("row").alias("least"), F.first("registers").alias("registers")).withColumn("class", F.monotonically_increasing_id())
     )
 
     def bands_of(kept=None) -> DataFrame:
@@ -176,26 +224,36 @@ def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text
     shared = key_filter(heads, "band")
 
     edges = bands_of(shared).join(heads, "band").filter("class != head").select(F.col("class").alias("a"), F.col("head").alias("b"))
-    clusters = staged(components(edges))
-    candidates = key_filter(clusters, "node", mix=True)
+    members = staged(components(edges).join(classes.withColumnRenamed("class", "node"), "node"))
+    candidates = key_filter(members, "k")
 
     def full_sets(batches):
-        hashes = WordHashes()
+        hashes, done = WordHashes(), set()
         for batch in row_batches(batches):
-            mask = candidates.passes(mixed(batch.column(0).fill_null(0).to_numpy().view(np.uint64)))
+            mask = candidates.passes(batch.column(0).to_numpy().view(np.uint64))
             chosen = batch.filter(pa.array(mask))
-            sets = [shingles(one.encode().lower().split(), hashes, width).tobytes() for one in chosen.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([chosen.column(0), pa.array(sets, pa.binary())], ["node", "set"])
+            keys, sets, digests = [], [], ([], [])
+            for key, one in zip(chosen.column(0).to_pylist(), chosen.column(1).to_pylist()):
+                # A row that is there many times has one key; a task makes its set once.
+                if key in done:
+                    continue
+                done.add(key)
+                values = shingles(one.encode().lower().split(), hashes, width)
+                keys.append(key)
+                sets.append(values.tobytes())
+                for sums, value in zip(digests, _digest(values)):
+                    sums.append(value)
+            numbers = [pa.array(np.array(d, np.uint64).view(np.int64)) for d in digests]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *numbers, pa.array(sets, pa.binary())], ["k", "s1", "s2", "set"])
 
-    members = clusters.join(classes.select(F.col("class").alias("node"), "n", "registers"), "node")
     sizes = staged(members.groupBy("root").agg(F.ceil(F.sum(F.col("n") * 8) / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))).withColumnRenamed("root", "_root")
-    sets = texts.mapInArrow(full_sets, "node bigint, set binary")
+    sets = texts.select("k", "text").mapInArrow(full_sets, "k bigint, s1 bigint, s2 bigint, set binary")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # A cluster of one block is one group; else each pair of blocks is, and a member goes to all groups of its block.
     groups = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least(block, other).alias("x"), F.greatest(block, other).alias("y")))
     spread = (
-        members.join(sets, "node").join(sizes, F.col("root") == F.col("_root"))
-        .select("root", "node", "registers", "set", F.explode(groups).alias("g")).select("root", "g.x", "g.y", "node", "registers", "set")
+        members.join(sets, ["k", "s1", "s2"]).join(sizes, F.col("root") == F.col("_root"))
+        .select("root", "node", "registers", "set", "blocks", F.explode(groups).alias("g")).select("root", "g.x", "g.y", "node", "registers", "set", "blocks")
     )
 
     def compared(table: pa.Table) -> pa.Table:
@@ -204,12 +262,20 @@ def near_duplicates(documents: DataFrame, row: str = "doc_id", text: str = "text
         registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(ids), -1)
         sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("set")]
         found = links_within(ids[once], registers[once], [sets[i] for i in once], percent)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-    links = spread.groupBy("root", "x", "y").applyInArrow(compared, "a bigint, b bigint")
-    joined = staged(components(links))
-    known = classes.select("n", "s1", "s2", "class").join(joined, F.col("class") == F.col("node"), "left")
-    known = staged(known.select("n", "s1", "s2", F.coalesce("root", "class").alias("component")))
-    found = sketches.select("row", "n", "s1", "s2").join(known, ["n", "s1", "s2"], "left")
-    component = F.when(F.col("row").isNull(), F.lit(None)).otherwise(F.coalesce("component", "row"))
-    return found.select("row", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("row").isNull() | (F.col("row") == component)).alias("kept"))
+        # A cluster of one block is done with here; the links of others meet those of their other blocks.
+        whole = len(ids) > 0 and table.column("blocks")[0].as_py() == 1
+        found = forest(ids, found) if whole else found
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64()), "whole": pa.array([whole] * len(found), pa.bool_())})
+
+    links = staged(spread.groupBy("root", "x", "y").applyInArrow(compared, "a bigint, b bigint, whole boolean"))
+    joined = links.filter("whole").select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(components(links.filter("not whole").select("a", "b")))
+    rooted = staged(classes.select("n", "s1", "s2", "class", "least").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class")))
+    # Combined before the shuffle, so a large component is no hot key.
+    leasts = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    known = staged(rooted.join(leasts, "root").select("n", "s1", "s2", "class", "root", "component"))
+    return sketches.select("row", "k", "n", "s1", "s2").join(known, ["n", "s1", "s2"], "left").select("row", "k", "n", "class", "root", "component")
+
+
+def _digest(values: np.ndarray) -> tuple[int, int]:
+    """Two sums that tell sets of hashes apart."""
+    return int(values.sum(dtype=np.uint64)), int(mixed(values).sum(dtype=np.uint64))

@@ -74,8 +74,11 @@ FROM whole LEFT JOIN known ON digest = canonical_sha256 LEFT JOIN per USING (rid
 
 
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, which arrive in two deliveries: the second is scanned against the ledger of the first."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    ledger = secrets.scan(documents, "doc_id")
+    later = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(False))
+    first = secrets.scan(documents.filter(~later), "doc_id")
+    ledger = first.unionByName(secrets.scan(documents.filter(later), "doc_id", ledger=first))
     found = secrets.findings(documents, ledger)
     base = F.filter("secrets", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
     count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusloom.llm.common import full_text, staged
+from corpusloom.llm.common import bit_table, full_text, may_have, staged
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,11 @@ def scan(versions: DataFrame, path: str, text: str = "text", ledger: DataFrame |
 
 
 def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", rules: list[SecretRule] = BASE_RULES) -> DataFrame:
-    """All rows and columns of `versions` with `secrets`: array of (start, rank, kind, end) by start, then by the order of `rules`."""
+    """All rows and columns of `versions` with `secrets`: array of (start, rank, kind, end) by start, then by the order of `rules`.
+
+    Only rows whose blob may have findings move to meet them; a bitmap of bounded size tells the others, which stay where they
+    are and have none. A column `secrets` of `versions` is replaced; other columns may have any names.
+    """
     rank = F.create_map(*[F.lit(v) for i, r in enumerate(rules) for v in (r.label, i)])
     kind = F.split("rule", "@")[0]
     shape = "array<struct<start:int,rank:int,kind:string,end:int>>"
@@ -110,11 +114,15 @@ def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", rules:
         .groupBy("blob").agg(F.sort_array(F.collect_set(F.struct(F.col("s.start"), F.col("_rank").alias("rank"), F.col("_kind").alias("kind"), F.col("s.end")))).cast(shape).alias("secrets"))
     )
     # The blobs with findings are written, so that the join can split a blob that very many paths share.
-    current = staged(current).withColumnRenamed("blob", "_blob")
-    return (
-        versions.withColumn("_blob", blob_of(full_text(text))).join(current, "_blob", "left").drop("_blob")
-        .withColumn("secrets", F.coalesce("secrets", F.array().cast(shape)))
-    )
+    current = staged(current)
+    kept = [c for c in versions.columns if c.lower() != "secrets"]
+    whole = F.struct(*[F.col(f"`{c}`") for c in versions.columns])
+    rows = versions.select(whole.alias("_row"), blob_of(full_text(text)).alias("blob"))
+    flagged = may_have(rows, "blob", *bit_table(current, "blob"), "_may")
+    none = F.array().cast(shape)
+    met = flagged.filter("_may").join(current, "blob", "left").select("_row", F.coalesce("secrets", none).alias("secrets"))
+    found = flagged.filter(~F.col("_may")).select("_row", none.alias("secrets")).unionByName(met)
+    return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], "secrets")
 
 
 def spans_text(secrets: Column) -> Column:

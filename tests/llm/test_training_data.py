@@ -132,6 +132,95 @@ def test_near_duplicates(docs, none):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def near_pairs(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for at in range(12):
+        words = [f"w{rng.integers(10**6)}" for _ in range(60 + at)]
+        changed = list(words)
+        changed[5] = "other"
+        rows += [(100 * at, " ".join(words)), (100 * at + 1, " ".join([*words, "x"])), (100 * at + 2, " ".join(changed)), (100 * at + 3, " ".join(words[:30]))]
+    two = [" ".join(f"{c}{i}" for i in range(60)) for c in "lm"]
+    rows += [(5001, two[0]), (5001, two[1]), (5002, two[0] + " x"), (5003, two[1] + " x"), (5001, two[0])]
+    rows += [(None, rows[2][1]), (None, "no one has this " * 9), (None, "no one has this " * 9), (None, ""), (None, None), (7000, ""), (7000, "")]
+    return spark.createDataFrame([(i, t, "en", None, n) for n, (i, t) in enumerate(rows)], SCHEMA)
+
+
+def naive_components(rows, percent):
+    """Component of each row by the definition: the numbers of the rows that it reaches."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) > 4 else {tuple(words)} if words else set())
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                label = [label[i] if x == label[j] else x for x in label]
+    return label, sets
+
+
+@pytest.mark.parametrize("block_bytes", [None, 600])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, block_bytes):
+    if block_bytes:
+        monkeypatch.setattr(neardup, "BLOCK_BYTES", block_bytes)
+    docs = near_pairs(spark)
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("n_chars").collect()]
+    label, sets = naive_components(rows, 85)
+    wanted = Counter()
+    for at, (i, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if label[j] == label[at] and rows[j][0] is not None]
+        least = min(ids) if sets[at] and ids else i
+        wanted[i, len(sets[at]), least, least is None or i == least] += 1
+    found = Counter((r.row, r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect())
+    assert found == wanted
+    assert {r.row: r.component_id for r in neardup.near_duplicates(docs).collect()}[5003] == 5001
+
+
+def test_one_of_each_against_brute_force(spark):
+    docs = near_pairs(spark).withColumn("_row_key", neardup.F.lit("x"))
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("n_chars").collect()]
+    label, sets = naive_components(rows, 80)
+    wanted = Counter()
+    for group in set(label):
+        members = [rows[j] for j in range(len(rows)) if label[j] == group]
+        at = label.index(group)
+        if sets[at]:
+            ids = [i for i, _ in members if i is not None]
+            wanted[min(ids) if ids else None] += 1
+        elif rows[at][0] is None:
+            wanted[None] += 1
+    wanted[7000] = 1
+    kept = neardup.one_of_each(docs.drop("_row_key")).collect()
+    assert Counter(r.doc_id for r in kept) == wanted
+    assert neardup.one_of_each(docs.limit(0).drop("_row_key")).count() == 0
+
+
+def test_findings_with_clashing_names_and_a_full_bitmap(spark, monkeypatch):
+    from corpusloom.llm import common
+
+    rows = [(i, f"password={'a' * (8 + i % 3)}" if i % 5 == 0 else f"plain {i}", "x", "y", "z") for i in range(60)] + [(60, None, "x", "y", "z")]
+    versions = spark.createDataFrame(rows, "doc_id bigint, text string, secrets string, blob string, _may string")
+    ledger = secrets.scan(versions, "doc_id")
+    wanted = sorted((i, t, 1 if i % 5 == 0 and i < 60 else 0) for i, t, *_ in rows)
+    for most in (common.MOST_BITS, 1):
+        monkeypatch.setattr(secrets, "bit_table", lambda keys, column, most=most: common.bit_table(keys, column, most=most))
+        found = secrets.findings(versions, ledger)
+        assert found.columns == ["doc_id", "text", "blob", "_may", "secrets"]
+        assert sorted((r.doc_id, r.text, len(r.secrets)) for r in found.collect()) == wanted
+
+
+def test_bit_tables_have_no_false_no(spark):
+    from corpusloom.llm.common import bit_table, may_have
+
+    keys = spark.range(0, 30_000, 3).selectExpr("concat('k', id) AS key")
+    flagged = may_have(spark.range(30_000).selectExpr("id", "concat('k', id) AS key"), "key", *bit_table(keys, "key"), "may")
+    counts = {(r.hit, r.may): r["count"] for r in flagged.groupBy((flagged.id % 3 == 0).alias("hit"), "may").count().collect()}
+    assert counts[True, True] == 10_000 and (True, False) not in counts and counts.get((False, True), 0) < 2_000
+    none = may_have(keys, "key", *bit_table(keys.limit(0), "key"), "may")
+    assert none.filter("may").count() == 0 and none.count() == 10_000
+
+
 def test_repeats_within_and_across(docs, none):
     found = {r.doc_id: r for r in repeats.without_repeats(docs).collect()}
     assert found[6].n_removed == 3000 - 1 and found[8].n_removed == 60 and found[4].n_removed == 0 and found[0].kept_text == ""

@@ -22,10 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: that of the least id."""
-    found = neardup.near_duplicates(docs, percent=NEAR_PERCENT).filter("kept").select(F.col("row").alias("_kept"))
-    kept = staged(found.distinct())
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    """One row of each near-duplicate component, that of the least id; rows without an id take part as well."""
+    return neardup.one_of_each(docs, percent=NEAR_PERCENT).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,12 +61,17 @@ def may_have(rows: DataFrame, column: str, table: DataFrame, size: int, flag: st
     return met.withColumn(flag, F.coalesce(bit, F.lit(False))).drop("_bit_block", "_bits")
 
 
-def free_name(wanted: str, rows: DataFrame) -> str:
-    """`wanted`, with marks put before it until `rows` has no column of that name."""
-    taken = {c.lower() for c in rows.columns}
-    while wanted.lower() in taken:
-        wanted = f"_{wanted}"
-    return wanted
+def guarded(rows: DataFrame, outputs: list[str], operator: Callable[[DataFrame, Callable[[str], str]], DataFrame]) -> DataFrame:
+    """The columns of `rows` and the `outputs` that `operator` adds, whatever the columns of `rows` are called.
+
+    `operator` gets the rows with other names, and a function from the old name of a column to its new one. A column that
+    has the name of an output is replaced by it.
+    """
+    names = {c: f"_column_{i}" for i, c in enumerate(rows.columns)}
+    taken = {c.lower() for c in outputs}
+    lower = {c.lower(): n for c, n in names.items()}
+    found = operator(rows.toDF(*names.values()), lambda c: lower[c.lower()])
+    return found.select(*[F.col(n).alias(c) for c, n in names.items() if c.lower() not in taken], *outputs)
 
 
 def ship(df: DataFrame) -> DataFrame:

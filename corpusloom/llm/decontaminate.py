@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusloom.llm.common import ascii_lower, full_text, staged
+from corpusloom.llm.common import ascii_lower, full_text, guarded, staged
 
 #: A word is a run of anything but ASCII other than letters and digits.
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: The quick test of a word has at most this many bits, as one literal of the plan (128 KB).
 MOST_BITS = 1 << 20
 
+OUTPUTS = ["n_words", "n_hit", "hit_items", "contaminated"]
+
 
 def words_of(text: Column) -> Column:
     """Words of a text, A-Z lower-cased; none for a text without any."""
@@ -100,7 +102,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = 13, p
     are clean; repeated rows and copies get the same result, each text being joined once; items without an id count for
     n_hit but are not listed; an empty benchmark hits nothing.
     """
-    windows, pairs = item_windows(benchmark, width, item, text)
+    return guarded(documents, OUTPUTS, lambda rows, name: _contamination(rows, benchmark, width, part, name(text), text, item))
+
+
+def _contamination(documents: DataFrame, benchmark: DataFrame, width: int, part: int, text: str, item_text: str, item: str) -> DataFrame:
+    windows, pairs = item_windows(benchmark, width, item, item_text)
     hits = window_hits(documents, windows, width, text)
     before = W.partitionBy("_digest").orderBy("_start", "_end").rowsBetween(W.unboundedPreceding, -1)
     spans = hits.groupBy("_digest", "_start").agg(F.max("_end").alias("_end"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.llm.common import full_text, staged
+from corpusloom.llm.common import full_text, guarded, staged
 
 #: Known licences are copied to the executors only up to this many; a longer list is joined by shuffle.
 COPIED = 50_000
@@ -121,6 +121,8 @@ You should have received a copy of the GNU General Public License along with thi
 
 KNOWN = [*NOTICES, *TEXTS]
 
+OUTPUTS = ["canonical_sha256", "whole_license", "license_lines", "n_license_lines"]
+
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, one spelling, and single blanks instead of everything but letters and digits."""
@@ -138,6 +140,10 @@ def license_hits(documents: DataFrame, known: DataFrame, text: str = "text", cop
     licences with one digest the first id counts; known rows without an id or letters fit nothing. Null texts are empty;
     empty texts fit nothing; repeated rows and copies get the same result.
     """
+    return guarded(documents, OUTPUTS, lambda rows, name: _license_hits(rows, known, name(text), copied))
+
+
+def _license_hits(documents: DataFrame, known: DataFrame, text: str, copied: int) -> DataFrame:
     form = canonical(full_text("text"))
     forms = known.filter("license_id is not null").select("license_id", form.alias("form")).filter("form != ''")
     digests = forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license_id").alias("license_id"), F.min(F.length("form")).alias("size")).persist()

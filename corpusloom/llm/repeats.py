@@ -6,11 +6,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusloom.llm.common import WordHashes, full_text, key_filter, mixed, row_batches, runs_of, ship, staged
+from corpusloom.llm.common import WordHashes, full_text, guarded, key_filter, mixed, row_batches, runs_of, ship, staged
 
 #: Odd factors of the two independent hashes of a window and of the hash of an anchor.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
+OUTPUTS = ["n_words", "n_removed", "kept_text"]
+
 
 def _keyed(documents: DataFrame, row: str, text: str) -> DataFrame:
     """(k1, k2, rowkey, text): 96 bits of the text, and the same mixed with the row's id."""
@@ -159,6 +161,10 @@ def without_repeats(documents: DataFrame, row: str = "doc_id", text: str = "text
     one space. Null, empty and short texts lose nothing; equal texts of `window` words or more lose all words in every
     row; repeated rows count as copies; without documents there are no rows.
     """
+    return guarded(documents, OUTPUTS, lambda rows, name: _without_repeats(rows, name(row), name(text), window))
+
+
+def _without_repeats(documents: DataFrame, row: str, text: str, window: int) -> DataFrame:
     spans = repeated_spans(documents, row, text, window)
     keys = key_filter(spans, "k1", mix=True)
 

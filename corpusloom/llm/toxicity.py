@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusloom.llm.common import row_batches, ship
+from corpusloom.llm.common import guarded, row_batches, ship
 
 #: Labelled rows of the classes 0 and 1 that a model is fitted on at most.
 SAMPLE = (3_000, 1_500)
@@ -140,6 +140,8 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
     ahead = state["softmax"][:, 1] - state["softmax"][:, 0]
     return ToxicityModel(ahead @ state["vectors"], float(state["bias"][1] - state["bias"][0]), settings)
 
+OUTPUTS = ["toxic_score", "toxic_predicted"]
+
 
 def held_out(row: str = "doc_id") -> Column:
     """Rows whose labels are never learned from; a row without an id has none."""
@@ -149,14 +151,14 @@ def held_out(row: str = "doc_id") -> Column:
 def fitted(documents: DataFrame, labels: DataFrame, row: str = "doc_id", text: str = "text", label: str = "toxic", most: tuple[int, int] = SAMPLE, settings: Settings = Settings()) -> ToxicityModel:
     """A model of at most `most` labelled documents of the classes 0 and 1, those first by a hash of their id.
 
-    Of several labels of an id the highest counts; labels without an id or value, and held-out ids, are left out.
+    Of several labels of an id the highest counts, of several texts the least; labels without an id or value, and held-out ids, are left out.
     """
     usable = labels.filter(F.col(row).isNotNull() & F.col(label).isNotNull() & ~held_out(row)).groupBy(row).agg(F.max(label).cast("int").alias("_label"))
     order = [F.xxhash64(row), F.col(row)]
     chosen = usable.filter("_label = 0").orderBy(*order).limit(most[0]).unionByName(usable.filter("_label = 1").orderBy(*order).limit(most[1]))
     # At most sum(most) small rows, and then as many texts.
     marks = {r[row]: r["_label"] for r in chosen.collect()}
-    texts = documents.select(F.col(row).alias("row"), F.col(text).alias("text")).filter(F.col(row).isin(list(marks))).dropDuplicates(["row"]).collect()
+    texts = documents.select(F.col(row).alias("row"), F.col(text).alias("text")).filter(F.col(row).isin(list(marks))).groupBy("row").agg(F.min("text").alias("text")).collect()
     texts.sort(key=lambda r: r["row"])
     return train([r["text"] or "" for r in texts], np.array([marks[r["row"]] for r in texts]), settings)
 
@@ -167,6 +169,10 @@ def scored(documents: DataFrame, model: ToxicityModel, text: str = "text", thres
     The whole text alone decides; a null or empty text scores as the bias does, equal texts score the same, and no
     documents give no rows.
     """
+    return guarded(documents, OUTPUTS, lambda rows, name: _scored(rows, model, name(text), threshold))
+
+
+def _scored(documents: DataFrame, model: ToxicityModel, text: str, threshold: float) -> DataFrame:
     width, place = len(documents.columns), documents.columns.index(text)
     names = [*documents.columns, "toxic_score", "toxic_predicted"]
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.llm.common import ascii_lower
+from corpusloom.llm.common import ascii_lower, guarded
 
 #: Rules are copied to the executors only up to this many; a larger list is joined by shuffle.
 COPIED_RULES = 50_000
 #: Hexadecimal digits of the short hash prefix (4 bytes).
 PREFIX_DIGITS = 8
 
+OUTPUTS = ["url_host", "url_path", "url_rule", "url_verdict"]
+
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a URL; both empty without `://` or without a URL."""
@@ -47,7 +49,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", copie
     and meets the rules by the first four bytes of the SHA-256; the whole digest then decides. A null or odd URL has
     empty parts and gets the default; without rules all get it. Repeated rows stay.
     """
-    host, path = host_and_path(F.col("url"))
+    return guarded(pages, OUTPUTS, lambda rows, name: _judge_urls(rows, rules, name("url"), default, copied))
+
+
+def _judge_urls(pages: DataFrame, rules: DataFrame, url: str, default: str, copied: int) -> DataFrame:
+    host, path = host_and_path(F.col(url))
     parted = pages.withColumn("url_host", host).withColumn("url_path", path)
     known = url_rules(rules)
     lengths = known.agg(

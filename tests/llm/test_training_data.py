@@ -210,6 +210,38 @@ def test_findings_with_clashing_names_and_a_full_bitmap(spark, monkeypatch):
         assert sorted((r.doc_id, r.text, len(r.secrets)) for r in found.collect()) == wanted
 
 
+def test_columns_of_any_name(spark, docs):
+    """Columns that are called like outputs or helpers: the first are replaced, the others stay as they were."""
+    outputs = [*licenses.OUTPUTS, *decontaminate.OUTPUTS, *toxicity.OUTPUTS, *repeats.OUTPUTS, "url", "url_rule"]
+    helpers = ["n", "ids", "copies", "digest", "spans", "whole", "k1", "_k1", "_key", "_form", "_words", "_digest", "token", "window", "item", "_bit_block", "_column_0"]
+    odd = docs.select("doc_id", "text", *[neardup.F.lit(f"own {c}").alias(c) for c in dict.fromkeys([*outputs, *helpers])])
+    known = spark.createDataFrame(licenses.KNOWN, "license_id string, text string")
+    bench = spark.createDataFrame([(1, "same text here for all of us", "x", 3)], "item_id int, text string, window string, n int")
+    labels = spark.createDataFrame([(i, int(i == 8)) for i in range(9)], "doc_id bigint, toxic int")
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    runs = [
+        (licenses.OUTPUTS, lambda d: licenses.license_hits(d, known)), (decontaminate.OUTPUTS, lambda d: decontaminate.contamination(d, bench)),
+        (toxicity.OUTPUTS, lambda d: toxicity.scored(d, toxicity.fitted(docs, labels))), (repeats.OUTPUTS, repeats.without_repeats),
+        (urls.OUTPUTS, lambda d: urls.judge_urls(d, rules)), (["secrets"], lambda d: secrets.findings(d, secrets.scan(d, "doc_id"))),
+    ]
+    for mine, operator in runs:
+        plain, found = operator(docs.withColumn("url", neardup.F.lit("own url"))), operator(odd)
+        assert found.columns == [c for c in odd.columns if c not in mine] + mine
+        kept = [c for c in odd.columns if c not in (*mine, "doc_id", "text")]
+        assert {tuple(r) for r in found.select(*kept).distinct().collect()} == {tuple(f"own {c}" for c in kept)} or mine == urls.OUTPUTS
+        order = lambda df: sorted(map(str, df.select("doc_id", *mine).collect()))
+        assert order(found) == order(plain)
+
+
+def test_of_several_texts_of_an_id_one_is_learned_from(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    rows = [(i, f"good calm {i}" if i % 2 == 0 else f"idiot loser {i}") for i in range(40)]
+    twice = [*rows, *[(i, f"zzz {i}") for i in range(40)]]
+    models = [toxicity.fitted(spark.createDataFrame(r, "doc_id bigint, text string").repartition(n), labels) for r, n in ((rows, 1), (twice, 3), (twice[::-1], 2))]
+    scores = [m.scorer()("idiot loser 7") for m in models]
+    assert scores[0] == scores[1] == scores[2]
+
+
 def test_bit_tables_have_no_false_no(spark):
     from corpusloom.llm.common import bit_table, may_have
 

@@ -7,7 +7,7 @@ STOP_TERMS = ["", "是", "的", "得", "了"]
 DROPPED_CLASSES = ["null", "vshi", "vyou"]
 DROPPED_CLASS_LETTERS = ["t", "f", "r", "m", "q", "d", "p", "c", "u", "e", "y", "o", "h", "k", "x", "w"]
 
-# Class and priority bonus of user terms, and the number loaded at most.
+# Class and priority bonus of user terms.
 USER_TERM_CLASS = "nwt"
 USER_TERM_BONUS = 1000
 

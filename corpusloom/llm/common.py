@@ -28,12 +28,14 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Helper columns beside those of a table begin with this.
+OWN = "_corpusloom_"
 #: Bits of one row of a table of bits, 64 to each long.
 TABLE_BLOCK = 1 << 12
 
 
 def bit_table(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST_BITS) -> tuple[DataFrame, int]:
-    """(_bit_block, _bits): a bitmap that has a bit set for every key, made by Spark's own functions, and its number of bits.
+    """Blocks and bits of a bitmap that has a bit set for every key, made by Spark's own functions, and its number of bits.
 
     At most `most` bits, 32 MB, whatever the keys, so that it can be copied to all tasks; beyond that more rows pass `may_have`.
     """
@@ -45,8 +47,8 @@ def bit_table(keys: DataFrame, column: str, per_key: int = 24, most: int = MOST_
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("slot") % 64).cast("int"))).alias("bits")
     )
     longs = TABLE_BLOCK // 64
-    table = bits.groupBy((F.shiftright("long", (longs - 1).bit_length())).alias("_bit_block")).agg(
-        F.map_from_entries(F.collect_list(F.struct((F.col("long") % longs).cast("int"), "bits"))).alias("_bits")
+    table = bits.groupBy((F.shiftright("long", (longs - 1).bit_length())).alias(f"{OWN}block")).agg(
+        F.map_from_entries(F.collect_list(F.struct((F.col("long") % longs).cast("int"), "bits"))).alias(f"{OWN}bits")
     )
     return staged(table), size
 
@@ -56,9 +58,9 @@ def may_have(rows: DataFrame, column: str, table: DataFrame, size: int, flag: st
     slot = F.pmod(F.xxhash64(column), F.lit(size))
     block = F.shiftright(slot, TABLE_BLOCK.bit_length() - 1)
     long = F.shiftright(slot, 6) % (TABLE_BLOCK // 64)
-    met = rows.withColumn("_bit_block", block).join(F.broadcast(table), "_bit_block", "left")
-    bit = F.getbit(F.try_element_at("_bits", long.cast("int")), (slot % 64).cast("int")) == 1
-    return met.withColumn(flag, F.coalesce(bit, F.lit(False))).drop("_bit_block", "_bits")
+    met = rows.withColumn(f"{OWN}block", block).join(F.broadcast(table), f"{OWN}block", "left")
+    bit = F.getbit(F.try_element_at(f"{OWN}bits", long.cast("int")), (slot % 64).cast("int")) == 1
+    return met.withColumn(flag, F.coalesce(bit, F.lit(False))).drop(f"{OWN}block", f"{OWN}bits")
 
 
 def guarded(rows: DataFrame, outputs: list[str], operator: Callable[[DataFrame, Callable[[str], str]], DataFrame]) -> DataFrame:

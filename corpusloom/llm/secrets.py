@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from corpusloom.llm.common import bit_table, full_text, may_have, staged
+from corpusloom.llm.common import OWN, bit_table, full_text, may_have, staged
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,8 @@ def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", rules:
     """All rows and columns of `versions` with `secrets`: array of (start, rank, kind, end) by start, then by the order of `rules`.
 
     Only rows whose blob may have findings move to meet them; a bitmap of bounded size tells the others, which stay where they
-    are and have none. A column `secrets` of `versions` is replaced; other columns may have any names.
+    are and have none. A column `secrets` of `versions` is replaced; other columns may have any names that don't begin with
+    the mark of our own helper columns.
     """
     rank = F.create_map(*[F.lit(v) for i, r in enumerate(rules) for v in (r.label, i)])
     kind = F.split("rule", "@")[0]
@@ -115,14 +116,13 @@ def findings(versions: DataFrame, ledger: DataFrame, text: str = "text", rules:
     )
     # The blobs with findings are written, so that the join can split a blob that very many paths share.
     current = staged(current)
-    kept = [c for c in versions.columns if c.lower() != "secrets"]
-    whole = F.struct(*[F.col(f"`{c}`") for c in versions.columns])
-    rows = versions.select(whole.alias("_row"), blob_of(full_text(text)).alias("blob"))
-    flagged = may_have(rows, "blob", *bit_table(current, "blob"), "_may")
+    current = current.withColumnsRenamed({"blob": f"{OWN}blob", "secrets": f"{OWN}secrets"})
+    rows = versions.drop("secrets").withColumn(f"{OWN}blob", blob_of(full_text(text)))
+    flagged = may_have(rows, f"{OWN}blob", *bit_table(current, f"{OWN}blob"), f"{OWN}may")
     none = F.array().cast(shape)
-    met = flagged.filter("_may").join(current, "blob", "left").select("_row", F.coalesce("secrets", none).alias("secrets"))
-    found = flagged.filter(~F.col("_may")).select("_row", none.alias("secrets")).unionByName(met)
-    return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], "secrets")
+    met = flagged.filter(f"{OWN}may").join(current, f"{OWN}blob", "left").withColumn("secrets", F.coalesce(f"{OWN}secrets", none))
+    found = flagged.filter(f"not {OWN}may").withColumn("secrets", none).drop(f"{OWN}blob", f"{OWN}may")
+    return found.unionByName(met.drop(f"{OWN}blob", f"{OWN}may", f"{OWN}secrets"))
 
 
 def spans_text(secrets: Column) -> Column:

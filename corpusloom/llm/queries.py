@@ -18,11 +18,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids, cut into pieces that fill sequences of 2048."""
     packed = packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), tokenizer_path())
     return packed.withColumnRenamed("row", "doc_id")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited form, and their likeness to it and to the next text."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     found = fingerprints.fingerprints_with_next(documents, fingerprints.lexicon(documents))
     shown = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
@@ -30,6 +32,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document by the counts of all documents."""
     found = lmscore.backoff_scores(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return found.select(F.col("row").alias("doc_id"), "n_words", F.round("log_score", 3).alias("log_score"))
 
@@ -49,6 +52,7 @@ SELECT doc_id, len(w) AS n_words, coalesce(round(t, 3), 0) AS log_score FROM doc
 
 
 def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence that an entire text is, and those that its lines are, by canonical digests."""
     known = spark.createDataFrame(licenses.KNOWN, "license_id string, text string")
     found = licenses.license_hits(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), known)
     return found.select("doc_id", "canonical_sha256", "whole_license", F.array_join("license_lines", ",").alias("license_lines"), "n_license_lines")
@@ -113,6 +117,7 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document, from a similarity of 0.85."""
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).withColumnRenamed("row", "doc_id")
 
 
@@ -135,6 +140,7 @@ SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that go because a window of 35 of them occurs twice, and the digest of the rest."""
     kept = repeats.without_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
@@ -155,6 +161,7 @@ FROM docs LEFT JOIN removed USING (rid) LEFT JOIN kept USING (rid)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items, and the items."""
     judged = decontaminate.contamination(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), read_table(spark, sf_dir, "benchmark"))
     return judged.select(
         "doc_id", "n_words", "n_hit", F.size("hit_items").cast("bigint").alias("n_items"),
@@ -187,6 +194,7 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page by the longest rule that fits."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = urls.judge_urls(read_table(spark, sf_dir, "pages", ["page_id", "url"]), rules)
     return judged.select(
@@ -207,6 +215,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model of the labelled ones that are not held out."""
     documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     rated = toxicity.scored(documents, toxicity.fitted(documents, read_table(spark, sf_dir, "labels")))
     return rated.select("doc_id", toxicity.held_out().alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted"))

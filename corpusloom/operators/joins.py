@@ -7,6 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 SLICES = 10_000
 
 
+def hot_keys(counts: DataFrame, key: str, slices: int = SLICES) -> DataFrame:
+    """(key, _slices) of the keys with more than one `slices`-th of all rows; fewer than `slices` rows. `counts` is (key, n)."""
+    total = counts.agg(F.sum("n")).scalar()
+    return (
+        counts.withColumn("_total", total)
+        .filter(F.col("n") * slices > F.col("_total"))
+        .select(key, F.ceil(F.col("n") * slices / F.col("_total")).cast("int").alias("_slices"))
+    )
+
+
 def spread_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -27,13 +37,7 @@ def spread_join(
         raise ValueError("how is inner or left")
     if counts is None:
         counts = facts.groupBy(key).agg(F.count("*").alias("n"))
-    counts = counts.select(key, "n")
-    total = counts.agg(F.sum("n")).scalar()
-    hot = (
-        counts.withColumn("_total", total)
-        .filter(F.col("n") * slices > F.col("_total"))
-        .select(key, F.ceil(F.col("n") * slices / F.col("_total")).cast("int").alias("_slices"))
-    )
+    hot = hot_keys(counts.select(key, "n"), key, slices)
     others = [c for c in facts.columns if c != key] or [key]
     sliced_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
         "_slice", F.coalesce(F.pmod(F.xxhash64(*others), F.col("_slices")).cast("int"), F.lit(0))

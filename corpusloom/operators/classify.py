@@ -70,27 +70,29 @@ def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", document
     The documents are those of `documents`, or else those with terms; one without terms scores by the priors alone.
 
     score = pi + base * W + sum of w * gain over the terms that the class has seen, W the sum of all w of the document.
-    Rows meet the model by term; the gains of a term are as many as there are classes at most. The parts are summed per
-    (doc, class), with W as one more class that has no name.
+    Rows meet the model by term. A term brings one vector of its gains, an element for each class in their order, and the
+    vectors of a document are summed element by element in one aggregate: a row stays one row however many classes there are.
+    The names of the classes are read by the driver; `tags.tag_slice` bounds them.
     """
-    gains = model.terms.groupBy("term").agg(F.collect_list(F.struct("class", "gain")).alias("gains"))
-    kind = dict(model.classes.dtypes)["class"]
-    nobody = F.array(F.struct(F.lit(None).cast(kind).alias("class"), F.lit(1.0).alias("gain")))
-    met = spread_join(weights.select(doc, "term", "w"), gains, "term", "left")
-    parts = met.select(doc, "w", F.explode(F.concat(nobody, F.coalesce(F.col("gains"), F.slice(nobody, 1, 0)))).alias("g"))
-    sums = parts.groupBy(doc, F.col("g.class").alias("class")).agg(F.sum(F.col("w") * F.col("g.gain")).alias("part"))
-    named = F.col("class").isNotNull()
-    per_doc = sums.groupBy(doc).agg(
-        F.max(F.when(~named, F.col("part"))).alias("_all"),
-        F.map_from_entries(F.collect_list(F.when(named, F.struct("class", "part")))).alias("_parts"),
+    named = model.classes.select("class").distinct().orderBy("class").collect()
+    kind = model.classes.schema["class"].dataType
+    names = F.array(*[F.lit(row["class"]).cast(kind) for row in named])
+    seen = F.map_from_entries(F.collect_list(F.struct("class", "gain")))
+    vectors = model.terms.groupBy("term").agg(seen.alias("_seen")).select(
+        "term", F.transform(names, lambda c: F.coalesce(F.try_element_at("_seen", c), F.lit(0.0))).alias("gains")
     )
+    met = spread_join(weights.select(doc, "term", "w"), vectors, "term", "left")
+    parts = [F.sum(F.col("w") * F.coalesce(F.get("gains", F.lit(i)), F.lit(0.0))).alias(f"_part{i}") for i in range(len(named))]
+    sums = met.groupBy(doc).agg(F.sum("w").alias("_all"), *parts)
+    part = F.array(*[f"_part{i}" for i in range(len(named))]).cast("array<double>")
+    per_doc = sums.select(doc, "_all", part.alias("_parts"))
     if documents is not None:
         per_doc = documents.select(doc).distinct().join(per_doc, doc, "left").withColumn("_all", F.coalesce("_all", F.lit(0.0)))
-    classes = model.classes.agg(F.collect_list(F.struct("class", "pi", "base"))).scalar()
+    classes = model.classes.agg(F.sort_array(F.collect_list(F.struct("class", "pi", "base")))).scalar()
     scores = F.transform(
         F.col("_classes"),
-        lambda c: F.struct(
-            (c["pi"] + c["base"] * F.col("_all") + F.coalesce(F.try_element_at("_parts", c["class"]), F.lit(0.0))).alias("score"),
+        lambda c, i: F.struct(
+            (c["pi"] + c["base"] * F.col("_all") + F.coalesce(F.get("_parts", i), F.lit(0.0))).alias("score"),
             c["class"].alias("class"),
         ),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.operators import classify, tags, weights as w
 from corpusloom.plans.classifier import Report, report
@@ -12,12 +12,11 @@ from corpusloom.session import cut
 TOP = 200
 
 
-def weights(spark, folder) -> DataFrame:
-    return cut(w.heaviest_terms(w.corpus_weights(documents(spark, folder)), TOP))
-
-
-def vocabulary(spark, folder):
-    return w.doc_freq(documents(spark, folder)).agg(F.count("*")).scalar()
+def weighed(spark, folder) -> tuple[DataFrame, Column]:
+    """The heaviest terms of each document and the size of the vocabulary, both from one table of document frequencies."""
+    docs = documents(spark, folder)
+    idfs = w.corpus_idf(docs)
+    return cut(w.heaviest_terms(w.tf_idf(w.term_freq(docs), idfs), TOP)), classify.vocabulary_size(idfs)
 
 
 def languages(spark, folder) -> DataFrame:
@@ -26,7 +25,8 @@ def languages(spark, folder) -> DataFrame:
 
 def language_report(spark, folder) -> Report:
     """Language of a document from its heaviest terms."""
-    return report(weights(spark, folder), languages(spark, folder), vocabulary(spark, folder))
+    heaviest, vocabulary = weighed(spark, folder)
+    return report(heaviest, languages(spark, folder), vocabulary)
 
 
 def selected(spark, folder) -> DataFrame:
@@ -69,9 +69,9 @@ def nb_model(spark, folder):
 
 
 def _scores(spark, folder) -> DataFrame:
-    all_weights, labels = weights(spark, folder), languages(spark, folder)
+    (all_weights, vocabulary), labels = weighed(spark, folder), languages(spark, folder)
     learn = classify.in_training("doc_id")
-    model = classify.train(all_weights.filter(learn), labels.filter(learn), vocabulary(spark, folder))
+    model = classify.train(all_weights.filter(learn), labels.filter(learn), vocabulary)
     return classify.class_scores(all_weights.filter(~learn), model, documents=labels.filter(~learn))
 
 
@@ -95,8 +95,9 @@ def tag_classifier(spark, folder):
     """Best two tags of each test document, learnt from documents with several tags."""
     labels = tags.labelled_docs(tagged(spark, folder), cut(selected(spark, folder)), roots(spark, folder))
     labels = cut(labels.withColumnRenamed("tag", "class"))
-    own = cut(weights(spark, folder).join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
-    best = report(own, labels, vocabulary(spark, folder)).best
+    heaviest, vocabulary = weighed(spark, folder)
+    own = cut(heaviest.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
+    best = report(own, labels, vocabulary).best
     return best.withColumn("score", F.round("score", 4))
 
 

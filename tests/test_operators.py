@@ -239,6 +239,33 @@ def test_reachable(spark, rows):
     assert rows(graph.reachable(seeds, links, 2), "url", "hop") == [("a", 0), ("b", 1), ("c", 2)]
 
 
+def test_reachable_over_ten_hops_with_cycles(spark, rows):
+    ring = [(f"p{i}", f"p{(i + 1) % 12}") for i in range(12)]
+    # A source with most of all links, links back, links to itself, repeated links and links without an end.
+    hub = [("p3", f"leaf{i}") for i in range(500)] + [("p3", "p1"), ("p5", "p5"), ("leaf7", "deep"), ("p0", "p1"), ("p0", None), (None, "x")]
+    links = spark.createDataFrame(ring + hub, "fromurl string, tourl string")
+    seeds = spark.createDataFrame([("p0",), ("p0",), (None,)], "url string")
+    first = {"p0": 0}
+    for hop in range(1, 11):
+        first |= {b: hop for a, b in ring + hub if a is not None and b is not None and first.get(a) == hop - 1 and b not in first}
+    assert rows(graph.reachable(seeds, links, 10), "url", "hop") == sorted(first.items())
+    assert rows(graph.reachable(seeds, links, 0), "url", "hop") == [("p0", 0)]
+    # Nothing is new after the eleventh step, so further ones are not made.
+    assert graph.reachable(seeds, links, 10_000).agg(F.max("hop")).first()[0] == 11
+    assert graph.reachable(seeds.limit(0), links, 3).count() == 0
+    assert rows(graph.reachable(seeds, links.limit(0), 3), "url", "hop") == [("p0", 0)]
+
+
+def test_links_of_a_hot_source_are_reached_through_all_slices(spark, rows, monkeypatch):
+    links = spark.createDataFrame([("hot", f"t{i}") for i in range(300)] + [("cold", "t1"), ("cold", "u")], "fromurl string, tourl string")
+    monkeypatch.setattr(graph, "hot_keys", lambda counts, key: joins.hot_keys(counts, key, 20))
+    edges, hot = graph.stored_edges(links)
+    assert rows(hot) == [("hot", 20)] and edges.filter("slot like '% hot'").select("slot").distinct().count() == 20
+    both = spark.createDataFrame([("hot",), ("cold",)], "url string")
+    assert graph.hop_targets(edges, hot, both).count() == 301
+    assert rows(graph.hop_targets(edges, hot, both.filter("url = 'cold'"))) == [("t1",), ("u",)]
+
+
 def test_lexicon(spark, rows):
     lines = lexicon.dict_lines(spark.createDataFrame([(7, "國 \r\nT恤a,\n\nabc\n一二三四五六")], "dicid bigint, text string"), {"國": "国"})
     assert rows(lexicon.clean_terms(lines), "dicid", "term") == [(7, "abc"), (7, "国"), (7, "恤")]

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import joins, rankindex, tags, upserts, weights
+from corpusloom.operators import classify, graph, joins, rankindex, tags, upserts, weights
 from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
@@ -154,3 +154,23 @@ def test_links_start_from_every_page_with_links(spark):
     linked = pages.page_links(spark, FOLDER).select("page_id").distinct()
     own = pages.page_urls(spark, FOLDER).join(linked, "page_id").select("canonical").distinct().count()
     assert own > 0 and pages.link_edges(spark, FOLDER).select("fromurl").distinct().count() == own
+
+
+def test_hops_leave_the_links_and_what_was_met_in_place(spark):
+    links = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(50)], "fromurl string, tourl string")
+    edges, hot = graph.stored_edges(links)
+    met = store(spark.createDataFrame([("a1",), ("a2",)], "url string"), "url")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(graph.hop_targets(edges, hot, met).join(met, "url", "left_anti"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The last hop goes to the buckets of the links, the targets to those of what was met.
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("Bucketed: true") >= 2
+
+
+def test_class_scores_keep_one_row_for_each_term_of_a_document(spark):
+    weights_of = spark.createDataFrame([("d", "t", 1.0)], "doc_id string, term string, w double")
+    labels = spark.createDataFrame([("d", c) for c in "abcdefgh"], "doc_id string, class string")
+    text = plan(classify.class_scores(weights_of, classify.train(weights_of, labels, 1)))
+    assert "Generate explode" not in text.replace("Generate explode(sequence", "")

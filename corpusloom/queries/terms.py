@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.keys import row_key
 from corpusloom.functions.text import join_ids, split_tags, words
-from corpusloom.operators import tags as tag_ops, weights as w
+from corpusloom.operators import freqstate, postings, tags as tag_ops, weights as w
 from corpusloom.operators.ids import dense_ids
 from corpusloom.operators.joins import spread_join
 from corpusloom.operators.upserts import ids_of, upsert_count
 from corpusloom.plans.ingest import collected_ids
+from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table, sql_rows
 from corpusloom.session import cut, shared_dir
 from corpusloom.streaming import counters
@@ -164,6 +167,31 @@ def incremental_term_counts(spark, folder):
     return upsert_count(first, odd, "term", "place", None, "termfreq", "termid")
 
 
+def changed_doc_freq(spark, folder):
+    """Document frequencies of a corpus in which documents were deleted, replaced and added after they were counted."""
+    docs, kind = documents(spark, folder), F.col("doc_id") % 5
+    known = store(docs.filter(kind != 2), "doc_id")
+    gone = (kind == 0).alias("gone")
+    text = F.when(kind == 1, F.regexp_replace("text", "[aeo]", "u")).otherwise(F.col("text")).alias("text")
+    changes = docs.filter(kind < 3).select("doc_id", text, gone, F.lit(1).alias("place"))
+    state = freqstate.change_docs(known, freqstate.freq_state(known), changes, "place")[1]
+    return freqstate.state_idf(state).withColumn("idf", F.round("idf", 6))
+
+
+def tag_conjunctions(spark, folder):
+    """Documents that have two and three given tags, from posting blocks of all tags."""
+    index = posting_blocks(spark, folder)
+    found = [index.all_of(tags).select(F.lit(" ".join(tags)).alias("tags"), F.col("number").alias("doc_id")) for tags in CONJUNCTIONS]
+    return reduce(DataFrame.unionByName, found)
+
+
+def posting_blocks(spark, folder):
+    return postings.build(tagged(spark, folder), "tag", "doc_id")
+
+
+CONJUNCTIONS = [["lang=en", "quality=1"], ["lang=en", "quality=1", "source=src3"], ["lang=fr", "source=src3"]]
+
+
 def _top(n, where=""):
     return f"""WITH {WEIGHTS} SELECT doc_id, rank, term, round(w, 6) AS w FROM (
         SELECT doc_id, term, w, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, term) AS INTEGER) AS rank
@@ -209,6 +237,12 @@ QUERIES = {
         SELECT 'lang=' || lang AS tag FROM documents UNION ALL SELECT 'source=' || source FROM documents) GROUP BY tag"""),
     "sql_source_counts": (sql_source_counts, """SELECT source, lang, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars
         FROM documents GROUP BY source, lang"""),
+    "changed_doc_freq": (changed_doc_freq, "WITH now AS (SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN regexp_replace(text, '[aeo]', 'u', 'g') "
+        "ELSE text END AS text FROM documents WHERE doc_id % 5 <> 0), "
+        + WEIGHTS.replace("FROM documents", "FROM now") + " SELECT term, df, round(idf, 6) AS idf FROM idf"),
+    "tag_conjunctions": (tag_conjunctions, f"WITH {TAGS}, pairs AS (SELECT DISTINCT doc_id, tag FROM tagged) " + " UNION ALL ".join(
+        f"SELECT '{' '.join(tags)}' AS tags, doc_id FROM pairs WHERE tag IN ({', '.join(map(repr, tags))}) GROUP BY doc_id HAVING count(*) = {len(tags)}"
+        for tags in CONJUNCTIONS)),
     "incremental_term_counts": (incremental_term_counts, f"""WITH {TOKENS}, seen AS (
         SELECT term, count(*) AS termfreq, min(doc_id % 2) AS part FROM tokens GROUP BY term)
         SELECT term, row_number() OVER (ORDER BY part, {BUCKET.format('term')}) AS termid, termfreq FROM seen"""),

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import zlib
-from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from corpusloom.llm.common import guarded, row_batches, ship
+from corpusloom.llm.common import guarded, row_batches, runs_of, ship
 
 #: Labelled rows of the classes 0 and 1 that a model is fitted on at most.
 SAMPLE = (3_000, 1_500)
@@ -28,11 +27,44 @@ class Settings:
     decay: float = 1e-4
 
 
-def gram_buckets(word: str, settings: Settings) -> list[int]:
-    """Buckets of the character n-grams of a word, its ends marked; a short word is one gram."""
-    marked = f"<{word}>"
-    grams = [marked[i:i + n] for n in settings.grams for i in range(len(marked) - n + 1)] or [marked]
-    return [zlib.crc32(g.encode()) % settings.buckets for g in grams]
+#: Multiplier of the rolling hash of n-grams.
+FACTOR = 0x9E3779B97F4A7C15
+#: Words whose n-grams are held at once, and characters of the texts that are rated together; a longer text goes alone.
+WORDS_AT_ONCE = 50_000
+CHARACTERS_AT_ONCE = 1 << 18
+
+
+def gram_buckets(words: list[str], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of words, buckets) of the character n-grams of all words, one pair of arrays for each length.
+
+    The ends of a word are marked; a word shorter than all n-grams is one gram. All words are hashed together.
+    """
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(lengths)
+    owners = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    left = np.repeat(ends, lengths) - np.arange(len(codes))
+    least = min(settings.grams)
+    for n in sorted({*settings.grams, *lengths[lengths < least].tolist()}):
+        hashes = runs_of(codes, n, FACTOR)
+        if n < least:
+            at = (ends - lengths)[lengths == n]
+        else:
+            at = np.flatnonzero(left[:len(hashes)] >= n)
+        yield owners[at], (hashes[at] % np.uint64(settings.buckets)).astype(np.int32)
+
+
+def pieces_of(items: Iterable, size: Callable[[object], int], most: int) -> Iterator[list]:
+    """The items in their order, in lists of a total size up to `most`, or of one item."""
+    held, total = [], 0
+    for item in items:
+        if held and total + size(item) > most:
+            yield held
+            held, total = [], 0
+        held.append(item)
+        total += size(item)
+    if held:
+        yield held
 
 
 @dataclass
@@ -46,19 +78,40 @@ class ToxicityModel:
     bias: float
     settings: Settings
 
-    def scorer(self, most: int = 300_000):
+    def word_logits(self, words: list[str]) -> np.ndarray:
+        """The mean weight of the n-grams of each word; what other words are asked for changes nothing."""
+        total, count = np.zeros(len(words)), np.zeros(len(words))
+        for owners, buckets in gram_buckets(words, self.settings):
+            total += np.bincount(owners, self.weights[buckets], len(words))
+            count += np.bincount(owners, minlength=len(words))
+        return total / count
+
+    def scorer(self, most: int = 300_000) -> Callable[[list[str]], list[float]]:
+        """A function from texts to scores that remembers about `most` words."""
         known: dict[str, float] = {}
 
-        def score(text: str) -> float:
-            words = text.lower().split()
-            if len(known) > most:
+        def learn(texts: list[list[str]]) -> None:
+            new = set().union(*texts).difference(known)
+            if len(known) + len(new) > most:
                 known.clear()
-            for word in set(words).difference(known):
-                known[word] = float(self.weights[gram_buckets(word, self.settings)].mean())
-            logit = self.bias + (self.settings.scale * sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
+                new = set().union(*texts)
+            new = list(new)
+            for start in range(0, len(new), WORDS_AT_ONCE):
+                some = new[start:start + WORDS_AT_ONCE]
+                known.update(zip(some, self.word_logits(some).tolist()))
+
+        def logit(words: list[str]) -> float:
+            return self.bias + (self.settings.scale * sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
+
+        def scores(texts: list[str]) -> list[float]:
+            found = []
+            for some in pieces_of(texts, len, CHARACTERS_AT_ONCE):
+                split = [text.lower().split() for text in some]
+                learn(split)
+                found.extend(map(logit, split))
+            return (1 / (1 + np.exp(-np.clip(found, -500, 500)))).tolist()
 
-        return score
+        return scores
 
 
 class _Bag:
@@ -107,15 +160,15 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
         odds = np.log((share + 1e-9) / (1 - share + 1e-9))
         return ToxicityModel(np.zeros(settings.buckets, np.float32), float(odds), settings)
     # Plain 4-byte numbers: this runs in the driver, and lists of the n-grams would take ten times the room.
-    bags, lengths = array("i"), array("i")
-    for w in vocabulary:
-        found = gram_buckets(w, settings)
-        bags.extend(found)
-        lengths.append(len(found))
-    columns, lengths = np.frombuffer(bags, np.int32), np.frombuffer(lengths, np.int32)
-    grams = _Bag(np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), columns, np.repeat((1 / lengths).astype(np.float32), lengths), len(lengths), settings.buckets)
+    words = list(vocabulary)
+    found = [(owners + np.int32(start), buckets) for start in range(0, len(words), WORDS_AT_ONCE)
+             for owners, buckets in gram_buckets(words[start:start + WORDS_AT_ONCE], settings)]
+    owners, columns = (np.concatenate(arrays) for arrays in zip(*found))
+    lengths = np.bincount(owners, minlength=len(words))
+    del words, found
+    grams = _Bag(owners, columns, (1 / lengths).astype(np.float32)[owners], len(lengths), settings.buckets)
     docs = _Bag(np.concatenate(doc), np.concatenate(word), np.concatenate(weight), len(texts), len(lengths))
-    del columns, bags, doc, word, weight
+    del owners, columns, doc, word, weight
     rng = np.random.default_rng(7)
     state = {
         "vectors": rng.normal(0, 0.05, (settings.size, settings.buckets)).astype(np.float32),
@@ -179,7 +232,7 @@ def _scored(documents: DataFrame, model: ToxicityModel, text: str, threshold: fl
     def rate(batches):
         score = model.scorer()
         for batch in row_batches(batches):
-            values = np.array([score("" if one is None else str(one)) for one in batch.column(place).to_pylist()], np.float64)
+            values = np.array(score(["" if one is None else str(one) for one in batch.column(place).to_pylist()]), np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(values), pa.array((values >= threshold).astype(np.int32))], names)
 
     added = [T.StructField("toxic_score", T.DoubleType()), T.StructField("toxic_predicted", T.IntegerType())]

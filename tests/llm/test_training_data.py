@@ -1,6 +1,7 @@
 """Edge cases and brute force for the operators of the subpackage."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -286,6 +287,39 @@ def test_toxicity_held_out_and_empty(spark, docs, none):
     assert {r.toxic_predicted for r in toxicity.scored(docs, model).collect()} == {0} and toxicity.scored(none, model).count() == 0
 
 
+def test_toxicity_scores_against_word_by_word_arithmetic():
+    """Every n-gram hashed by itself with whole numbers, every text scored by itself."""
+    def spread(x):
+        x ^= x >> 32
+        x = x * 0xD6E8FEB86659FD93 % 2**64
+        x ^= x >> 32
+        x = x * 0xD6E8FEB86659FD93 % 2**64
+        return x ^ (x >> 32)
+
+    def naive(model, text):
+        total, words = 0.0, text.lower().split()
+        for word in words:
+            marked = f"<{word}>"
+            grams = [marked[i:i + n] for n in model.settings.grams for i in range(len(marked) - n + 1)] or [marked]
+            hashes = [spread(sum(ord(c) * toxicity.FACTOR ** (len(g) - 1 - i) for i, c in enumerate(g)) % 2**64) for g in grams]
+            total += sum(float(model.weights[h % model.settings.buckets]) for h in hashes) / len(grams)
+        logit = model.bias + (model.settings.scale * total / len(words) if words else 0.0)
+        return 1 / (1 + math.exp(-logit))
+
+    texts = ["", " ", "a", "Ab ab AB", "you <idiot> \ud800 x", "naïve 你好 🙂🙂 z", "word " * 300, " ".join(f"w{i}q" for i in range(3000)), "a"]
+    for settings in (toxicity.Settings(), toxicity.Settings(grams=(5,), buckets=977), toxicity.Settings(grams=(6, 4))):
+        weights = np.random.default_rng(3).normal(0, 0.01, settings.buckets).astype(np.float32)
+        model = toxicity.ToxicityModel(weights, -0.3, settings)
+        wanted = [naive(model, text) for text in texts]
+        for most in (10, 300_000):
+            rate = model.scorer(most)
+            assert rate(texts) == pytest.approx(wanted, rel=1e-9) and rate(texts[::-1]) == rate(texts)[::-1]
+            # What a text is rated along with changes nothing.
+            assert [rate([text])[0] for text in texts] == rate(texts)
+    assert toxicity.ToxicityModel(weights, 0.0, settings).scorer()([]) == []
+    assert [list(p) for p in toxicity.pieces_of(["aa", "bb", "cccccc", "d"], len, 4)] == [["aa", "bb"], ["cccccc"], ["d"]]
+
+
 def test_toxicity_of_misspelt_words(spark):
     bad, misspelt = "idiot moron clown trash loser scum stupid".split(), "idi0t m0ron cl0wn tr4sh l0ser scvm stoopid".split()
     rng = np.random.default_rng(3)

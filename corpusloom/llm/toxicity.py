@@ -17,7 +17,7 @@ SAMPLE = (3_000, 1_500)
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 18
+    buckets: int = 1 << 20
     #: Lengths of the n-grams: a word with one changed letter keeps some of the short ones.
     grams: tuple[int, ...] = (3, 4, 5, 6)
     size: int = 2
@@ -71,7 +71,7 @@ def pieces_of(items: Iterable, size: Callable[[object], int], most: int) -> Iter
 class ToxicityModel:
     """What is left of the embeddings and the softmax when only the score is asked for: both are linear up to it.
 
-    `weights` has the difference of the two logits for each bucket (1 MB), `bias` that of an empty text.
+    `weights` has the difference of the two logits for each bucket (4 MB), `bias` that of an empty text.
     """
 
     weights: np.ndarray

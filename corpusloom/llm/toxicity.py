@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ class Settings:
 #: Multiplier of the rolling hash of n-grams.
 FACTOR = 0x9E3779B97F4A7C15
 #: Words whose n-grams are held at once, and characters of the texts that are rated together; a longer text goes alone.
-WORDS_AT_ONCE = 50_000
+WORDS_AT_ONCE = 20_000
 CHARACTERS_AT_ONCE = 1 << 18
 
 
@@ -160,12 +161,14 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
         odds = np.log((share + 1e-9) / (1 - share + 1e-9))
         return ToxicityModel(np.zeros(settings.buckets, np.float32), float(odds), settings)
     # Plain 4-byte numbers: this runs in the driver, and lists of the n-grams would take ten times the room.
-    words = list(vocabulary)
-    found = [(owners + np.int32(start), buckets) for start in range(0, len(words), WORDS_AT_ONCE)
-             for owners, buckets in gram_buckets(words[start:start + WORDS_AT_ONCE], settings)]
-    owners, columns = (np.concatenate(arrays) for arrays in zip(*found))
+    words, pairs = list(vocabulary), (array("i"), array("i"))
+    for start in range(0, len(words), WORDS_AT_ONCE):
+        for owners, buckets in gram_buckets(words[start:start + WORDS_AT_ONCE], settings):
+            pairs[0].frombytes((owners + np.int32(start)).tobytes())
+            pairs[1].frombytes(buckets.tobytes())
+    owners, columns = (np.frombuffer(numbers, np.int32) for numbers in pairs)
     lengths = np.bincount(owners, minlength=len(words))
-    del words, found
+    del words, pairs
     grams = _Bag(owners, columns, (1 / lengths).astype(np.float32)[owners], len(lengths), settings.buckets)
     docs = _Bag(np.concatenate(doc), np.concatenate(word), np.concatenate(weight), len(texts), len(lengths))
     del owners, columns, doc, word, weight

@@ -13,12 +13,14 @@ COUNTS = "term string, n bigint"
 
 
 def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of the Parquet files of a folder (or one file)."""
+    """A stream of the Parquet files of a folder, whatever its name ends in, or of one file."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     folder, _, last = path.rstrip("/").rpartition("/")
-    if last.endswith(".parquet"):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if last.endswith(".parquet") and not (files.exists(place) and files.getFileStatus(place).isDirectory()):
         return reader.option("pathGlobFilter", last).parquet(folder)
     return reader.parquet(path)
 

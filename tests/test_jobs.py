@@ -192,6 +192,23 @@ def test_stream_counts(spark, tmp_path, rows):
     assert rows(counters.total_counts(spark, log)) == [("a", 2), ("b", 2), ("c", 2)]
 
 
+@pytest.mark.parametrize("folder", [True, False])
+def test_stream_of_a_table_called_parquet(spark, tmp_path, rows, folder):
+    # A table of several files is a folder whose name ends like that of a file.
+    (tmp_path / "in").mkdir()
+    table, schema = str(tmp_path / "in/docs.parquet"), "doc_id bigint, text string"
+    docs = spark.createDataFrame([(1, "a b"), (2, "b"), (3, None)], schema)
+    if folder:
+        docs.repartition(3).write.parquet(table)
+    else:
+        docs.toPandas().to_parquet(table)
+        docs.toPandas().to_parquet(str(tmp_path / "in/others.parquet"))
+    counters.log_counts(counters.arriving(spark, table, schema), str(tmp_path / "log"), str(tmp_path / "p")).awaitTermination()
+    assert rows(counters.total_counts(spark, str(tmp_path / "log"))) == [("a", 1), ("b", 2)]
+    counters.keep_totals(counters.arriving(spark, table, schema), str(tmp_path / "totals"), str(tmp_path / "q")).awaitTermination()
+    assert rows(counters.kept_totals(spark, str(tmp_path / "totals"))) == [("a", 1), ("b", 2)]
+
+
 @pytest.mark.parametrize("before_write", [True, False])
 def test_running_totals_go_on_after_a_stop_between_batches(spark, tmp_path, rows, monkeypatch, before_write):
     from pyspark.errors import StreamingQueryException

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.html import _any
 from corpusloom.functions.keys import _col, canonical_url
-from corpusloom.functions.tagevents import PAGE_ARROW, PAGE_TYPE, read_page
+from corpusloom.functions.tagevents import PAGE_ARROW, PAGE_TYPE, read_all, read_page
 from corpusloom.session import ship
 
 
@@ -30,9 +30,10 @@ def page_fields(html: Column | str, rules: PageRules) -> Column:
 
     @F.arrow_udf(PAGE_TYPE)
     def fields(pages: pa.Array) -> pa.Array:
-        return pa.array([read_page(page, content, tags, "Keywords") for page in pages.to_pylist()], PAGE_ARROW)
+        return read_all(pages, lambda page: read_page(page, content, tags, "Keywords"), PAGE_ARROW)
 
-    return fields(_col(html))
+    # A page is read once: Spark would read it again for each filter that follows, or that it makes of an explode.
+    return fields.asNondeterministic()(_col(html))
 
 
 def read_pages(pages: DataFrame, rules: PageRules, keep: list[str] | None = None) -> DataFrame:

@@ -58,7 +58,7 @@ def redirect_targets(spark, folder):
 
 def site(spark, folder) -> DataFrame:
     """(page_id, url, content, hrefs): all pages with an address, under their own canonical one; links start from one base."""
-    read = read_pages(raw(spark, folder, "page_id", "url", "html"), RULES, ["page_id", "url"]).filter("url is not null")
+    read = read_pages(raw(spark, folder, "page_id", "url", "html").filter("url is not null"), RULES, ["page_id", "url"])
     return read.select("page_id", canonical_url("url").alias("url"), "content", F.transform("hrefs", lambda href: F.concat(F.lit("http://ex"), href)).alias("hrefs"))
 
 

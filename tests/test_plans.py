@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import classify, graph, joins, rankindex, tags, upserts, weights
+from corpusloom.operators import classify, graph, joins, pages as page_ops, rankindex, tags, upserts, weights
 from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
@@ -174,3 +174,10 @@ def test_class_scores_keep_one_row_for_each_term_of_a_document(spark):
     labels = spark.createDataFrame([("d", c) for c in "abcdefgh"], "doc_id string, class string")
     text = plan(classify.class_scores(weights_of, classify.train(weights_of, labels, 1)))
     assert "Generate explode" not in text.replace("Generate explode(sequence", "")
+
+
+def test_a_page_is_read_once(spark):
+    # Neither the filter on content nor the one that Spark makes of an explode reads the pages again.
+    read = page_ops.has_content(pages.site(spark, FOLDER))
+    for df in (pages.page_links(spark, FOLDER), read, pages.edges_of(read)):
+        assert plan(df).count("ArrowEvalPython") == 1

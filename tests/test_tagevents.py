@@ -3,6 +3,9 @@
 import random
 import time
 
+import pyarrow as pa
+import pytest
+
 from corpusloom import fixed_values as fixed
 from corpusloom.functions import html, tagevents
 from corpusloom.operators import pages as page_ops
@@ -71,3 +74,17 @@ def test_one_pass_for_all_fields(spark):
     rows = spark.createDataFrame([(1, PAGE)], "n int, html string")
     plan = page_ops.read_pages(rows, page_ops.PageRules())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("n", [0, 1, 64, 65, 200])
+def test_pages_are_read_in_slices(n):
+    texts = [None if i % 7 == 3 else f"<title>t{i}</title><article>text {i}</article><a href='/{i}'>" for i in range(n)]
+    seen = []
+
+    def read(page):
+        seen.append(page)
+        return tagevents.read_page(page, ["article"], ".tags", "Keywords")
+
+    got = tagevents.read_all(pa.array(texts, pa.string()), read, tagevents.PAGE_ARROW)
+    assert seen == texts and got.type == tagevents.PAGE_ARROW
+    assert got.to_pylist() == [tagevents.read_page(t, ["article"], ".tags", "Keywords") for t in texts]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.html import leading_title
 from corpusloom.functions.keys import _col, ids_in_url
-from corpusloom.functions.tagevents import LIST_ARROW, LIST_TYPE, read_list_page
+from corpusloom.functions.tagevents import LIST_ARROW, LIST_TYPE, read_all, read_list_page
 from corpusloom.functions.text import map_characters
 from corpusloom.session import ship
 
@@ -23,9 +23,10 @@ def list_fields(html: Column | str) -> Column:
 
     @F.arrow_udf(LIST_TYPE)
     def fields(pages: pa.Array) -> pa.Array:
-        return pa.array([read_list_page(page) for page in pages.to_pylist()], LIST_ARROW)
+        return read_all(pages, read_list_page, LIST_ARROW)
 
-    return fields(_col(html))
+    # A page is read once: Spark would read it again for a filter that it makes of a later explode.
+    return fields.asNondeterministic()(_col(html))
 
 
 def shown_dicts(fields: Column | str) -> Column:

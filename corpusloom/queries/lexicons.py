@@ -132,10 +132,12 @@ def simplify_chars(spark, folder):
 
 LIST_URL = "http://ex/dict/cate/index/{}/download/{}"
 PER_PAGE = 10
+# A pager shows the first and the last page of a brand and this many on either side of its own.
+PAGER_REACH = 5
 
 
 def list_pages(spark, folder) -> DataFrame:
-    """(url, html): parts as dictionaries, listed ten a page by brand, with a pager on the first page of a brand."""
+    """(url, html): parts as dictionaries, listed ten a page by brand, each page with a pager."""
     parts = read_table(spark, folder, "part", ["p_partkey", "p_name", "p_brand", "p_size"])
     brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("bigint")
     # A page holds the parts of one brand whose keys fall into one range: at most ten of a page's text.
@@ -152,9 +154,13 @@ def list_pages(spark, folder) -> DataFrame:
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", block.alias("b")))), lambda x: x["b"]), "").alias("blocks")
     )
     last = placed.groupBy("brand").agg(F.max("page").alias("last"))
+    # Whatever the page, the greatest number of its pager is the brand's last page, and no page grows with its brand.
+    own = F.greatest(F.lit(1), F.least(F.coalesce("page", F.lit(1)), "last"))
+    near = F.sequence(F.greatest(F.lit(1), own - PAGER_REACH), F.greatest(F.lit(1), F.least(own + PAGER_REACH, "last")))
+    numbers = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1).cast("bigint"), "last"), near)))
     pager = F.array_join(
         F.transform(
-            F.sequence(F.lit(1), F.col("last")),
+            F.when(F.col("last").isNotNull(), numbers),
             lambda p: F.concat(F.lit('<a href="/dict/cate/index/0/download/'), p.cast("string"), F.lit('">'), p.cast("string"), F.lit("</a>")),
         ),
         "",

@@ -7,7 +7,7 @@ from corpusloom.operators import classify, graph, joins, pages as page_ops, rank
 from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
-from corpusloom.queries import pages
+from corpusloom.queries import lexicons, pages
 
 from conftest import TESTDATA
 
@@ -176,6 +176,22 @@ def test_class_scores_keep_one_row_for_each_term_of_a_document(spark):
     assert "Generate explode" not in text.replace("Generate explode(sequence", "")
 
 
+def test_list_pages_do_not_grow_with_their_brand(spark, tmp_path):
+    parts = spark.range(0, 40_000, 100).select(
+        F.col("id").alias("p_partkey"), F.lit("pan").alias("p_name"), F.lit("Brand#3").alias("p_brand"), F.lit(30).alias("p_size")
+    )
+    odd = spark.createDataFrame([(None, "pot", "Brand#4", 30), (5, "cup", None, 30)], "p_partkey bigint, p_name string, p_brand string, p_size int")
+    parts.unionByName(odd).write.parquet(str(tmp_path / "part.parquet"))
+    pages = lexicons.list_pages(spark, str(tmp_path)).filter("url is not null")
+    assert pages.agg(F.max(F.length("html"))).first()[0] < 2000
+    # Each pager leads as far as the whole one did.
+    assert [tuple(r) for r in lexicons.read_lists(spark, str(tmp_path)).filter("page > 0").groupBy("last_page").count().collect()] == [(400, 400)]
+    assert lexicons.pager_rows(spark, str(tmp_path)).count() == 399
+    shown = lexicons.dict_pages(spark, str(tmp_path))
+    assert shown.count() == lexicons.dict_list(spark, str(tmp_path)).count() == lexicons.dict_term_todo(spark, str(tmp_path)).count() == 400
+    assert plan(shown).count("ArrowEvalPython") == 1
+
+
 def test_a_page_is_read_once(spark):
     # Neither the filter on content nor the one that Spark makes of an explode reads the pages again.
     read = page_ops.has_content(pages.site(spark, FOLDER))

@@ -19,6 +19,20 @@ def dict_lines(files: DataFrame, characters: dict[str, str] | None = None) -> Da
     return lines.withColumn("term", F.regexp_replace("term", r"^\s+|\s+$", ""))
 
 
+def counted_lines(files: DataFrame, characters: dict[str, str] | None = None) -> DataFrame:
+    """(term, n, dicid): the trimmed lines of dictionary texts with their number and the greatest dictionary they are in.
+
+    Equal lines are combined before they are trimmed, so that a line is worked on once however often it occurs; a term
+    may come in as many rows as it was written in different ways.
+    """
+    text = map_characters("text", characters) if characters else F.col("text")
+    lines = files.select("dicid", F.explode(F.split(text, "\n")).alias("term"))
+    counted = lines.groupBy("term").agg(F.count("*").alias("n"), F.max("dicid").alias("dicid"))
+    # As the element of a list, so that Spark does not move a later filter on the term to before the lines are combined.
+    trimmed = F.array(F.regexp_replace("term", r"^\s+|\s+$", ""))
+    return counted.select(F.explode(trimmed).alias("term"), "n", "dicid")
+
+
 def clean_terms(lines: DataFrame, below: int = fixed.TERM_BYTES_BELOW) -> DataFrame:
     """Lines as lexicon terms; those that are blank or too long are left out."""
     return lines.withColumn("term", clean_lexicon_term("term")).filter(short_enough("term", below))

@@ -78,15 +78,30 @@ def upsert_count(
     Columns are those of `old`. Without `count` nothing is counted; with `id_name` new keys get the next dense ids.
     """
     attributes = attributes or []
-    combined = [F.count("*").alias("_n")] + [
-        F.max_by(F.col(a), F.when(F.col(a).isNotNull(), F.col(order))).alias(f"_new_{a}") for a in attributes
-    ]
+    combined = [F.count("*").alias("_n"), *_last_attributes(attributes, order)]
     return _apply(old, arrivals.groupBy(key).agg(*combined), key, attributes, count, id_name)
 
 
-def add_counts(old: DataFrame, counts: DataFrame, key: str, count: str, id_name: str | None = None) -> DataFrame:
-    """Add counts that were taken elsewhere: `counts(key, n)` may repeat a key, as one row per batch does."""
-    return _apply(old, counts.groupBy(key).agg(F.sum("n").alias("_n")), key, [], count, id_name)
+def add_counts(
+    old: DataFrame,
+    counts: DataFrame,
+    key: str,
+    count: str,
+    id_name: str | None = None,
+    attributes: list[str] | None = None,
+    order: str | None = None,
+) -> DataFrame:
+    """Add counts that were taken elsewhere: `counts(key, n)` may repeat a key, as one row per batch does.
+
+    Attributes are overwritten with the last value by `order`, as `upsert_count` does.
+    """
+    attributes = attributes or []
+    combined = [F.sum("n").alias("_n"), *_last_attributes(attributes, order)]
+    return _apply(old, counts.groupBy(key).agg(*combined), key, attributes, count, id_name)
+
+
+def _last_attributes(attributes: list[str], order: str | None) -> list[Column]:
+    return [F.max_by(F.col(a), F.when(F.col(a).isNotNull(), F.col(order))).alias(f"_new_{a}") for a in attributes]
 
 
 def _apply(

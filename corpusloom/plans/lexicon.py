@@ -8,8 +8,8 @@ from corpusloom import fixed_values as fixed
 from corpusloom.functions.keys import ids_in_url, row_key
 from corpusloom.operators.dictpages import listed_dicts, read_list_pages
 from corpusloom.operators.graph import remaining
-from corpusloom.operators.lexicon import active_terms, clean_terms, dict_lines, silence_categories
-from corpusloom.operators.upserts import delete_prefix, insert_absent, upsert_count
+from corpusloom.operators.lexicon import active_terms, clean_terms, counted_lines, silence_categories
+from corpusloom.operators.upserts import add_counts, delete_prefix, insert_absent, upsert_count
 from corpusloom.sources.seeds import seed_urls
 from corpusloom.sources.tables import Corpus
 
@@ -39,8 +39,8 @@ def collect_dicts(corpus: Corpus, pages: DataFrame, text_url: str, characters: d
 
 def term_rows(terms: DataFrame, files: DataFrame, characters: dict[str, str] | None = None) -> DataFrame:
     """The dictionary term table after the texts (dicid, text): +1 per line, with the dictionary it was last seen in."""
-    lines = clean_terms(dict_lines(files, characters)).withColumn("_place", F.struct("dicid", "pos"))
-    return upsert_count(terms, lines, "term", "_place", ["dicid"], "termfreq", "termid")
+    # The last place of a term is in the greatest dictionary that has it, wherever in its text.
+    return add_counts(terms, clean_terms(counted_lines(files, characters)), "term", "termfreq", "termid", ["dicid"], "dicid")
 
 
 def build_lexicon(

@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import classify, graph, joins, pages as page_ops, rankindex, tags, upserts, weights
+from corpusloom.operators import classify, graph, joins, lexicon, pages as page_ops, rankindex, tags, upserts, weights
 from corpusloom.sources.state import store
 from corpusloom.sources.tables import dealt, read_table
 from corpusloom.operators.filters import last_row, select_where
+from corpusloom.plans.lexicon import term_rows
 from corpusloom.queries import lexicons, pages
 
 from conftest import TESTDATA
@@ -197,3 +198,20 @@ def test_a_page_is_read_once(spark):
     read = page_ops.has_content(pages.site(spark, FOLDER))
     for df in (pages.page_links(spark, FOLDER), read, pages.edges_of(read)):
         assert plan(df).count("ArrowEvalPython") == 1
+
+
+def test_dictionary_lines_are_combined_before_they_are_cleaned(spark, rows):
+    texts = [(2, "tea\n tea \ncup,"), (1, "tea\nlongerthanthewholelexiconallowsñññññññññ\n\n,"), (None, "pot\ncup,"), (3, None)]
+    files = spark.createDataFrame(texts, "dicid bigint, text string")
+    terms = lexicon.clean_terms(lexicon.counted_lines(files))
+    # Neither a sort of all lines nor a filter on the cleaned term below the aggregate.
+    text = plan(terms)
+    assert "SortAggregate" not in text and "regexp_replace" not in text.split("partial_count")[-1]
+    empty = spark.createDataFrame([], "termid bigint, term string, termfreq bigint, dicid bigint")
+    lines = lexicon.clean_terms(lexicon.dict_lines(files)).withColumn("place", F.struct("dicid", "pos"))
+    wanted = upserts.upsert_count(empty, lines, "term", "place", ["dicid"], "termfreq", "termid")
+    assert rows(term_rows(empty, files)) == rows(wanted)
+    assert len(rows(wanted)) > 3
+    # A second delivery adds to the table and changes the dictionary of the terms that it has.
+    more = spark.createDataFrame([(1, "tea"), (None, "cup,")], files.schema)
+    assert rows(term_rows(wanted, more).filter("term = 'tea'"), "termfreq", "dicid") == [(4, 1)]

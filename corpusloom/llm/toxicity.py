@@ -212,11 +212,24 @@ def fitted(documents: DataFrame, labels: DataFrame, row: str = "doc_id", text: s
     usable = labels.filter(F.col(row).isNotNull() & F.col(label).isNotNull() & ~held_out(row)).groupBy(row).agg(F.max(label).cast("int").alias("_label"))
     order = [F.xxhash64(row), F.col(row)]
     chosen = usable.filter("_label = 0").orderBy(*order).limit(most[0]).unionByName(usable.filter("_label = 1").orderBy(*order).limit(most[1]))
-    # At most sum(most) small rows, and then as many texts.
-    marks = {r[row]: r["_label"] for r in chosen.collect()}
-    texts = documents.select(F.col(row).alias("row"), F.col(text).alias("text")).filter(F.col(row).isin(list(marks))).groupBy("row").agg(F.min("text").alias("text")).collect()
-    texts.sort(key=lambda r: r["row"])
-    return train([r["text"] or "" for r in texts], np.array([marks[r["row"]] for r in texts]), settings)
+    # At most sum(most) small rows, and then as many texts, which meet in a task: training takes several times their room.
+    marks = chosen.collect()
+    if not marks:
+        return train([], np.array([]), settings)
+    marked = documents.sparkSession.createDataFrame(marks, chosen.schema)
+    texts = documents.filter(F.col(row).isin([r[row] for r in marks])).select(F.col(row).alias("row"), F.col(text).alias("text"))
+    labelled = texts.join(F.broadcast(marked.withColumnRenamed(row, "row")), "row").groupBy("row").agg(F.min("text").alias("text"), F.max("_label").alias("label"))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns])), key=lambda r: r[0])
+        model = train([r[1] or "" for r in rows], np.array([r[2] for r in rows]), settings)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype(np.float32).tobytes()]), pa.array([model.bias])], ["weights", "bias"])
+
+    found = ship(labelled.repartition(1)).mapInArrow(fit, "weights binary, bias double").collect()
+    # Labelled ids that no document has leave nothing to learn from.
+    if not found:
+        return train([], np.array([]), settings)
+    return ToxicityModel(np.frombuffer(found[0]["weights"], np.float32), found[0]["bias"], settings)
 
 
 def scored(documents: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = 0.7) -> DataFrame:

@@ -287,6 +287,24 @@ def test_toxicity_held_out_and_empty(spark, docs, none):
     assert {r.toxic_predicted for r in toxicity.scored(docs, model).collect()} == {0} and toxicity.scored(none, model).count() == 0
 
 
+def test_toxicity_is_trained_in_a_task(spark, monkeypatch):
+    quick, train, here = toxicity.Settings(buckets=1 << 10, epochs=5), toxicity.train, []
+    # A task has its own copy of the list.
+    monkeypatch.setattr(toxicity, "train", lambda *given: here.append(1) or train(*given))
+    texts = {i: f"word{i % 7} {'vile' if i % 3 else 'kind'} text {i}" if i % 11 else None for i in range(60)}
+    known = sorted(r.doc_id for r in spark.range(60).withColumnRenamed("id", "doc_id").filter(~toxicity.held_out()).collect())
+    docs = spark.createDataFrame([*texts.items(), (known[1], "zzz later")], "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)] + [(known[0], 1), (None, 1), (7_000, 1)], "doc_id int, toxic int")
+    model = toxicity.fitted(docs, labels, settings=quick)
+    assert here == []
+    least = {i: min(x for x in (texts[i], "zzz later") if x is not None) if i == known[1] else texts[i] for i in known}
+    wanted = train([least[i] or "" for i in known], np.array([1 if i == known[0] else int(i % 3 > 0) for i in known]), quick)
+    assert model.bias == wanted.bias and (model.weights == wanted.weights).all()
+    # No document has the labelled ids: the score is that of no labels.
+    alone = toxicity.fitted(docs, labels.filter("doc_id > 60"), settings=quick)
+    assert alone.bias == train([], np.array([]), quick).bias and not alone.weights.any()
+
+
 def test_toxicity_scores_against_word_by_word_arithmetic():
     """Every n-gram hashed by itself with whole numbers, every text scored by itself."""
     def spread(x):

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.keys import _col
 from corpusloom.operators.joins import spread_join
+from corpusloom.operators.weights import unpacked
+from corpusloom.session import cut
 
 
 @dataclass
@@ -42,14 +44,16 @@ def vocabulary_size(idfs: DataFrame) -> Column:
 def train(
     weights: DataFrame, labels: DataFrame, vocabulary: Column | int, smoothing: float = fixed.SMOOTHING, doc: str = "doc_id"
 ) -> Model:
-    """Class priors and term likelihoods of labelled documents; labels are (doc, class)."""
+    """Class priors and term likelihoods of labelled documents; labels are (doc, class). Weights are (doc, term, w), or packed.
+
+    Packed weights of a document meet its classes as one row. The sums, one row per class and term, are written for their uses.
+    """
     vocabulary = F.lit(vocabulary) if isinstance(vocabulary, int) else vocabulary
-    sums = (
-        labels.select(doc, "class")
-        .join(weights.select(doc, "term", "w"), doc)
-        .groupBy("class", "term")
-        .agg(F.sum("w").alias("s"))
-    )
+    if "terms" in weights.columns:
+        met = labels.select(doc, "class").join(weights.select(doc, "terms"), doc).select("class", F.inline("terms"))
+    else:
+        met = labels.select(doc, "class").join(weights.select(doc, "term", "w"), doc)
+    sums = cut(met.groupBy("class", "term").agg(F.sum("w").alias("s")))
     totals = sums.groupBy("class").agg(F.sum("s").alias("total"))
     counts = labels.groupBy("class").agg(F.count("*").alias("n"))
     documents, kinds = labels.agg(F.count("*")).scalar(), labels.agg(F.countDistinct("class")).scalar()
@@ -81,7 +85,7 @@ def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", document
     vectors = model.terms.groupBy("term").agg(seen.alias("_seen")).select(
         "term", F.transform(names, lambda c: F.coalesce(F.try_element_at("_seen", c), F.lit(0.0))).alias("gains")
     )
-    met = spread_join(weights.select(doc, "term", "w"), vectors, "term", "left")
+    met = spread_join(unpacked(weights).select(doc, "term", "w"), vectors, "term", "left")
     parts = [F.sum(F.col("w") * F.coalesce(F.get("gains", F.lit(i)), F.lit(0.0))).alias(f"_part{i}") for i in range(len(named))]
     sums = met.groupBy(doc).agg(F.sum("w").alias("_all"), *parts)
     part = F.array(*[f"_part{i}" for i in range(len(named))]).cast("array<double>")

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from corpusloom.functions.keys import _col, let
 from corpusloom.functions.text import words
 from corpusloom.operators.joins import spread_join
-from corpusloom.session import cut
+from corpusloom.session import cut, ship
+
+#: Every task gets the idf of the terms with more than one of so many frequencies, hence of fewer terms than this (some 25 MB).
+COPIED = 1_000_000
 
 
 def tokens(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,6 +94,89 @@ def tf_idf(tf: DataFrame, idfs: DataFrame) -> DataFrame:
     return joined.withColumn("w", F.col("tf") * F.col("idf")).drop("idf")
 
 
+def counted(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Different terms in order, and of each list and term the list, the place of the term and how often it occurs, in this order."""
+    coded = pc.list_flatten(lists).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy().astype(np.int64)
+    place, width = np.empty_like(order), max(1, len(order))
+    place[order] = np.arange(len(order))
+    keys = pc.list_parent_indices(lists).to_numpy().astype(np.int64) * width + place[coded.indices.to_numpy()]
+    keys.sort()
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return coded.dictionary.take(pa.array(order)), keys[starts] // width, keys[starts] % width, np.diff(np.r_[starts, len(keys)])
+
+
+def packed_tf_idf(docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, copied: int = COPIED) -> DataFrame:
+    """(doc, terms): the weights of documents (doc, terms) as arrays of (less, term, tf, w) with less = -w, in several rows a document.
+
+    They hold the `n` heaviest terms of each document and maybe more, without those of weight 0 unless `zeros`: for `packed_heaviest`.
+    The idf of the frequent terms is copied to all tasks, where a row keeps the `n` heaviest of them; its other terms, each
+    rarer than one of `copied` frequencies, meet their idf by term. Those rows are a small part and have no hot keys.
+    """
+    doc = next(c for c in docs.columns if c != "terms")
+    total = idfs.agg(F.sum("df")).scalar()
+    # Fewer than `copied` rows whatever the corpus.
+    frequent = idfs.filter(F.col("df") * copied > total).select("term", "idf").toArrow()
+    known = pa.concat_arrays([pa.array([], pa.string()), *[c.cast(pa.string()) for c in frequent["term"].chunks]])
+    shared = docs.sparkSession.sparkContext.broadcast((known, frequent["idf"].to_numpy().astype(np.float64)))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, idf = shared.value
+        idf = np.r_[idf, np.nan]
+        for batch in batches:
+            # In the order of rows, then of terms.
+            terms, of, term, tf = counted(batch.column(1))
+            place = pc.index_in(terms, value_set=known).fill_null(len(known)).to_numpy()[term]
+            w = tf * idf[place]
+            kept = np.flatnonzero((place < len(known)) & (zeros | (w != 0)))
+            # The sort is stable: equal weights stay in the order of terms.
+            kept = kept[np.lexsort((-w[kept], of[kept]))]
+            kept = kept[np.arange(len(kept)) - np.searchsorted(of[kept], of[kept]) < n]
+            rest = np.flatnonzero(place == len(known))
+            heavy = [pa.array(-w[kept]), terms.take(pa.array(term[kept])), pa.array(tf[kept]), pa.array(w[kept])]
+            rare = [terms.take(pa.array(term[rest])), pa.array(tf[rest])]
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(of[chosen], np.arange(batch.num_rows + 1)).astype(np.int32)), pa.StructArray.from_arrays(values, names)
+                )
+                for chosen, values, names in ((kept, heavy, ["less", "term", "tf", "w"]), (rest, rare, ["term", "tf"]))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], [doc, "terms", "rest"])
+
+    element = "struct<less: double, term: string, tf: bigint, w: double>"
+    schema = f"`{doc}` {dict(docs.dtypes)[doc]}, terms array<{element}>, rest array<struct<term: string, tf: bigint>>"
+    # Read twice below.
+    met = cut(ship(docs.select(doc, "terms")).mapInArrow(weigh, schema))
+    rare = met.select(doc, F.inline("rest")).join(idfs.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    rare = rare.filter(F.lit(zeros) | (F.col("w") != 0)).withColumn("less", -F.col("w"))
+    gathered = rare.groupBy(doc).agg(F.collect_list(F.struct("less", "term", "tf", "w")).alias("terms"))
+    return met.select(doc, "terms").unionByName(gathered)
+
+
+def packed_heaviest(weights: DataFrame, n: int) -> DataFrame:
+    """(doc, terms): one row per document with its `n` heaviest terms of `packed_tf_idf` in order; equal weights go by term."""
+    doc = next(c for c in weights.columns if c != "terms")
+    every = F.sort_array(F.flatten(F.collect_list("terms")))
+    return weights.groupBy(doc).agg(F.slice(every, 1, n).alias("terms"))
+
+
+def unpacked(weights: DataFrame) -> DataFrame:
+    """(doc, term, tf, w, rank) of `packed_heaviest`, as `heaviest_terms` gives them. Other weights stay as they are."""
+    if "terms" not in weights.columns:
+        return weights
+    doc = next(c for c in weights.columns if c != "terms")
+    rows = weights.select(doc, F.posexplode("terms").alias("at", "t"))
+    return rows.select(doc, "t.term", "t.tf", "t.w", (F.col("at") + 1).alias("rank"))
+
+
+def heaviest_of(docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `heaviest_terms` over the weights of a table of documents, packed: without `zeros` those of `keywords`.
+
+    A document is one row on all ways but that of its rare terms.
+    """
+    return packed_heaviest(packed_tf_idf(docs.select(doc, words(text).alias("terms")), idfs, n, zeros), n)
+
+
 def corpus_weights(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """TF-IDF weights of all documents of a table."""
     return tf_idf(term_freq(docs, doc, words(text)), corpus_idf(docs, words(text)))

@@ -13,10 +13,10 @@ TOP = 200
 
 
 def weighed(spark, folder) -> tuple[DataFrame, Column]:
-    """The heaviest terms of each document and the size of the vocabulary, both from one table of document frequencies."""
+    """The heaviest terms of each document, packed, and the size of the vocabulary, both from one table of document frequencies."""
     docs = documents(spark, folder)
     idfs = w.corpus_idf(docs)
-    return cut(w.heaviest_terms(w.tf_idf(w.term_freq(docs), idfs), TOP)), classify.vocabulary_size(idfs)
+    return cut(w.heaviest_of(docs, idfs, TOP)), classify.vocabulary_size(idfs)
 
 
 def languages(spark, folder) -> DataFrame:

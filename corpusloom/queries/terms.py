@@ -79,12 +79,14 @@ def tfidf(spark, folder):
 
 
 def keywords_top10(spark, folder):
-    best = w.keywords(w.corpus_weights(documents(spark, folder)), 10)
+    docs = documents(spark, folder)
+    best = w.unpacked(w.heaviest_of(docs, w.corpus_idf(docs), 10, zeros=False))
     return best.select("doc_id", "rank", "term", F.round("w", 6).alias("w"))
 
 
 def top_terms_200(spark, folder):
-    best = w.heaviest_terms(w.corpus_weights(documents(spark, folder)), 200)
+    docs = documents(spark, folder)
+    best = w.unpacked(w.heaviest_of(docs, w.corpus_idf(docs), 200))
     return best.select("doc_id", "rank", "term", F.round("w", 6).alias("w"))
 
 
@@ -128,7 +130,8 @@ def doc_term_ids(spark, folder):
 
 def id_terms(spark, folder):
     """Terms of the ten best keywords looked up by id, as the keyword job stores ids."""
-    best = cut(w.keywords(w.corpus_weights(documents(spark, folder)), 10))
+    docs = documents(spark, folder)
+    best = cut(w.unpacked(w.heaviest_of(docs, w.corpus_idf(docs), 10, zeros=False)))
     table = term_ids(spark, folder)
     numbered = ids_of(best, table, "term", "termid").select("doc_id", "rank", "termid")
     return spread_join(numbered, table.select("termid", "term"), "termid").select("doc_id", "rank", "termid", "term")

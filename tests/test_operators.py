@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import words
 from corpusloom.operators import classify, dictpages, filters, graph, ids, joins, lexicon, rankindex, segment, tags, upserts, weights
 from corpusloom.sources.state import store, stored
 
@@ -452,3 +453,37 @@ def test_a_document_without_terms_scores_by_the_priors(spark):
     tested = spark.createDataFrame([(3,), (4,), (4,)], "doc_id int")
     best = {r.doc_id: r.predicted for r in classify.predict(classify.class_scores(weights.filter("doc_id = 3"), model, documents=tested)).collect()}
     assert best == {3: "x", 4: "y"}
+
+
+def test_packed_weights_are_those_of_long_rows_however_few_terms_are_copied(spark, rows):
+    texts = [(1, "b a c a d Ä"), (2, "a b zz"), (2, "a d d q"), (None, "c c a"), (None, "x"), (3, None), (4, ""), (5, "a"), (6, "é z e é")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    idfs, columns = weights.corpus_idf(docs), ["doc_id", "term", "tf", "w", "rank"]
+    long = weights.tf_idf(weights.term_freq(docs), idfs)
+    split = docs.select("doc_id", words("text").alias("terms"))
+    for n in (2, 100):
+        for zeros, wanted in ((True, weights.heaviest_terms(long, n)), (False, weights.keywords(long, n))):
+            for copied in (1, 8, 1_000_000):
+                packed = weights.packed_heaviest(weights.packed_tf_idf(split, idfs, n, zeros, copied), n)
+                assert rows(weights.unpacked(packed), *columns) == rows(wanted, *columns)
+
+
+def test_classes_are_learnt_and_scored_alike_from_packed_weights(spark, rows):
+    texts = [(i, f"{'ab'[i % 2]} w{i % 5} {'cd'[i % 2]} t{i}") for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("class")).union(docs.filter("doc_id < 5").selectExpr("doc_id", "7L"))
+    idfs = weights.corpus_idf(docs)
+    packed = weights.heaviest_of(docs, idfs, 3)
+    found = []
+    for some in (packed, weights.heaviest_terms(weights.tf_idf(weights.term_freq(docs), idfs), 3)):
+        model = classify.train(some, labels, classify.vocabulary_size(idfs))
+        scores = classify.score_rows(classify.class_scores(some, model)).withColumn("score", F.round("score", 9))
+        found.append((rows(model.terms.select("class", "term", F.round("theta", 9))), rows(scores)))
+    assert found[0] == found[1]
+
+
+def test_weights_of_documents_need_neither_a_row_for_each_term_nor_a_window(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a")], "doc_id bigint, text string")
+    text = weights.heaviest_of(docs, weights.corpus_idf(docs), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text
+    assert text.count("Generate ") == text.count("Generate inline(rest#") == 1

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.keys import _col
 from corpusloom.functions.text import kept_class
@@ -17,6 +17,8 @@ from corpusloom.session import ship
 
 # A lexicon up to this size is small enough to be copied to every executor (24 bytes a state: some 200 MB for terms of 16 bytes).
 BROADCAST_TERMS = 1_500_000
+#: Documents of an Arrow batch whose words are listed at once.
+ROWS = 1_000
 
 
 def one_per_term(lexicon: DataFrame) -> DataFrame:
@@ -33,8 +35,11 @@ def one_per_term(lexicon: DataFrame) -> DataFrame:
 
 def letter_runs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, run, letters): runs of letters in order; no word of a lexicon crosses their ends."""
-    runs = F.regexp_extract_all(F.lower(_col(text)), F.lit(r"(\p{L}+)"), F.lit(1))
-    return docs.select(doc, F.posexplode(runs).alias("run", "letters"))
+    return docs.select(doc, F.posexplode(_runs(text)).alias("run", "letters"))
+
+
+def _runs(text: str) -> Column:
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(r"(\p{L}+)"), F.lit(1))
 
 
 def segment(
@@ -53,33 +58,81 @@ def segment(
     `lexicon(term, termtype, freq)` is read by `one_per_term`. As an automaton it is copied to each executor when it has at
     most `broadcast_terms` different terms, and joined to the candidate words of the text otherwise; both ways give the same cuts.
     """
+    lexicon, terms, longest, total = _measured(lexicon, method)
+    if terms <= broadcast_terms:
+        rows = _with_copied_lexicon(docs, lexicon, doc, text, method, total, False)
+        return rows.select(doc, F.struct("run", "part").alias("pos"), "term", F.coalesce("termtype", F.lit(unknown_class)).alias("termtype"))
+    return _words(_with_joined_lexicon(letter_runs(docs, doc, text), lexicon, doc, method, longest, total), doc, unknown_class)
+
+
+def word_counts(
+    docs: DataFrame,
+    lexicon: DataFrame,
+    method: str = "longest",
+    doc: str = "doc_id",
+    text: str = "text",
+    unknown_class: str = "n",
+    broadcast_terms: int = BROADCAST_TERMS,
+) -> DataFrame:
+    """(doc, term, termtype, n): how often `segment` gives each word of a document. With a copied lexicon rows are counted in their task."""
+    known, terms, _, total = _measured(lexicon, method)
+    if terms <= broadcast_terms:
+        rows = _with_copied_lexicon(docs, known, doc, text, method, total, True)
+        kind = F.coalesce("termtype", F.lit(unknown_class)).alias("termtype")
+        return rows.select(doc, "term", kind, "n").groupBy(doc, "term", "termtype").agg(F.sum("n").alias("n"))
+    cut_words = segment(docs, lexicon, method, doc, text, unknown_class, broadcast_terms)
+    return cut_words.groupBy(doc, "term", "termtype").agg(F.count("*").alias("n"))
+
+
+def _measured(lexicon: DataFrame, method: str) -> tuple[DataFrame, int, int, float]:
+    """The lexicon with one row per term, its terms, the length of the longest, and what shares are taken of."""
     if method not in ("longest", "likeliest"):
         raise ValueError("method is longest or likeliest")
     lexicon = one_per_term(lexicon)
     size = lexicon.agg(
         F.count("*").alias("terms"), F.max(F.length("term")).alias("longest"), F.sum("freq").alias("total")
     ).first()
-    longest, total = size["longest"] or 1, float(size["total"] or 1) + 1.0
-    runs = letter_runs(docs, doc, text)
-    if size["terms"] <= broadcast_terms:
-        cut_runs = _with_copied_lexicon(runs, lexicon, doc, method, total)
-    else:
-        cut_runs = _with_joined_lexicon(runs, lexicon, doc, method, longest, total)
-    return _words(cut_runs, doc, unknown_class)
+    return lexicon, size["terms"], size["longest"] or 1, float(size["total"] or 1) + 1.0
 
 
-def _with_copied_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, total: float) -> DataFrame:
+def _with_copied_lexicon(docs: DataFrame, lexicon: DataFrame, doc: str, text: str, method: str, total: float, counted: bool) -> DataFrame:
+    """(doc, term, termtype, run, part) of each word, or (doc, term, termtype, n) of each different one of a row when `counted`."""
     name, kinds = automaton.shipped(lexicon)
+    names = [doc, "term", "termtype", *(["n"] if counted else ["run", "part"])]
 
     def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = automaton.loaded(name)
         for batch in batches:
+            lists = batch.column(1)
+            letters, row = pa.compute.list_flatten(lists).dictionary_encode(), pa.compute.list_parent_indices(lists).to_numpy()
             # Each different run of a batch is walked once.
-            letters = batch.column(2).dictionary_encode()
             found = automaton.cut_runs(letters.dictionary.to_pylist(), lambda a, b, codes, left: known.found(codes, left), method, total, kinds)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[f.take(letters.indices) for f in found]], names=[doc, "run", "terms", "classes"])
-
-    return ship(runs.select(doc, "run", "letters")).mapInArrow(cut_batches, _schema(runs, doc))
+            begin, words = found[0].offsets.to_numpy(), found[0].values.dictionary_encode()
+            terms, place, code = words.dictionary, words.indices.to_numpy(), letters.indices.to_numpy()
+            # With an automaton the class of a word follows from its letters.
+            classes = found[1].values.take(pa.array(np.unique(place, return_index=True)[1]))
+            for first in range(0, batch.num_rows, ROWS):
+                a, b = np.searchsorted(row, [first, first + ROWS])
+                if a == b:
+                    continue
+                size = np.diff(begin)[code[a:b]]
+                part = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                word, owner = place[np.repeat(begin[code[a:b]], size) + part], np.repeat(row[a:b], size)
+                if counted:
+                    keys = owner.astype(np.int64) * len(terms) + word
+                    keys.sort()
+                    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                    owner, word = np.divmod(keys[starts], len(terms))
+                    numbers = [np.diff(np.r_[starts, len(keys)])]
+                else:
+                    run = np.arange(a, b) - np.searchsorted(row, row[a:b])
+                    numbers = [np.repeat(run, size).astype(np.int32), part.astype(np.int32)]
+                at = pa.array(word)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), terms.take(at), classes.take(at), *map(pa.array, numbers)], names)
+
+    runs = docs.select(doc, _runs(text).alias("runs"))
+    rest = "n bigint" if counted else "run int, part int"
+    return ship(runs).mapInArrow(cut_batches, f"`{doc}` {dict(runs.dtypes)[doc]}, term string, termtype string, {rest}")
 
 
 def _with_joined_lexicon(runs: DataFrame, lexicon: DataFrame, doc: str, method: str, longest: int, total: float) -> DataFrame:

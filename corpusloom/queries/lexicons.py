@@ -110,14 +110,12 @@ def user_lexicon(spark, folder):
 
 def segment_dict(spark, folder):
     """How often each word occurs when all runs of letters are cut into the longest stems."""
-    cut_words = segment.segment(documents(spark, folder), _stems(spark, folder), unknown_class="?")
-    return cut_words.groupBy("doc_id", "term", "termtype").agg(F.count("*").alias("n"))
+    return segment.word_counts(documents(spark, folder), _stems(spark, folder), unknown_class="?")
 
 
 def segment_likeliest(spark, folder):
     """The same with the likeliest cuts."""
-    cut_words = segment.segment(documents(spark, folder), _stems(spark, folder), "likeliest")
-    return cut_words.groupBy("doc_id", "term", "termtype").agg(F.count("*").alias("n"))
+    return segment.word_counts(documents(spark, folder), _stems(spark, folder), "likeliest")
 
 
 def pos_filter(spark, folder):

@@ -487,3 +487,23 @@ def test_weights_of_documents_need_neither_a_row_for_each_term_nor_a_window(spar
     text = weights.heaviest_of(docs, weights.corpus_idf(docs), 2)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in text
     assert text.count("Generate ") == text.count("Generate inline(rest#") == 1
+
+
+def test_word_counts_are_those_of_the_words(spark, rows):
+    texts = [(1, "abcabd, ab éx"), (1, "ab ab"), (None, "zz abd"), (2, None), (3, "12"), (4, "c" * 30 + " c"), *[(i, "ab c" * (i % 3)) for i in range(5, 2_600)]]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").coalesce(1)
+    known = spark.createDataFrame([("ab", "v", 3), ("abd", None, 5), ("c", "k", 2), ("cc", "l", 1)], "term string, termtype string, freq bigint")
+    for method in ("longest", "likeliest"):
+        every = segment.segment(docs, known, method)
+        assert rows(segment.word_counts(docs, known, method)) == rows(every.groupBy("doc_id", "term", "termtype").count())
+        # The joined lexicon tells rows apart by their ids.
+        others, joined = docs.filter("doc_id > 1"), segment.segment(docs.filter("doc_id > 1"), known, method, broadcast_terms=1)
+        assert rows(segment.segment(others, known, method)) == rows(joined)
+        assert rows(segment.word_counts(others, known, method, broadcast_terms=1)) == rows(joined.groupBy("doc_id", "term", "termtype").count())
+
+
+def test_a_document_is_sent_as_one_row_to_be_cut(spark):
+    docs = spark.createDataFrame([(1, "ab c")], "doc_id int, text string")
+    known = spark.createDataFrame([("ab", "v", 3)], "term string, termtype string, freq bigint")
+    for found in (segment.segment(docs, known), segment.word_counts(docs, known)):
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()

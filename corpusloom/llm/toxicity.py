@@ -147,7 +147,10 @@ class _Bag:
 
 def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings()) -> ToxicityModel:
     """Fit bucket vectors and softmax together by full-batch Adam on whole texts; a text's vector is the mean of its
-    words' vectors, a word's that of its n-grams. Without both classes the score is the share of toxic labels."""
+    words' vectors, a word's that of its n-grams. Without both classes the score is the share of toxic labels.
+
+    In the second half the rate falls to nothing: at a constant one the loss leaps up once it is small, and the last step is any of those.
+    """
     share = float(np.mean(toxic)) if len(toxic) else 0.0
     vocabulary: dict[str, int] = {}
     doc, word, weight = [], [], []
@@ -180,6 +183,7 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in state.items()}
     goal = np.eye(2, dtype=np.float32)[toxic.astype(int)]
     for step in range(1, settings.epochs + 1):
+        rate = settings.rate * min(1, 2 * (1 - (step - 1) / settings.epochs))
         means = docs.times(grams.times(state["vectors"])).T
         logits = means @ state["softmax"] + state["bias"]
         share_of = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -192,7 +196,7 @@ def train(texts: list[str], toxic: np.ndarray, settings: Settings = Settings())
             first, second = moment[name]
             first += 0.1 * (g - first)
             second += 0.001 * (g * g - second)
-            state[name] -= settings.rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            state[name] -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     ahead = state["softmax"][:, 1] - state["softmax"][:, 0]
     return ToxicityModel(ahead @ state["vectors"], float(state["bias"][1] - state["bias"][0]), settings)
 

@@ -338,6 +338,16 @@ def test_toxicity_scores_against_word_by_word_arithmetic():
     assert [list(p) for p in toxicity.pieces_of(["aa", "bb", "cccccc", "d"], len, 4)] == [["aa", "bb"], ["cccccc"], ["d"]]
 
 
+def test_training_ends_at_rest():
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aeiourstlnmdpgvk"), rng.integers(3, 9))) for _ in range(300)]
+    texts = [" ".join([*rng.choice(words, 40), *["idiot"] * (i % 3 == 0)]) for i in range(60)]
+    # With so great a rate the loss leaps at a constant one: by up to 0.6 in a score from 100 to 120 epochs.
+    settings = [toxicity.Settings(buckets=1 << 10, epochs=n, rate=0.5, decay=1e-2) for n in (100, 106, 112, 118)]
+    scores = np.array([toxicity.train(texts, np.arange(60) % 3 == 0, s).scorer()(texts) for s in settings])
+    assert np.ptp(scores, axis=0).max() < 0.1
+
+
 def test_toxicity_of_misspelt_words(spark):
     bad, misspelt = "idiot moron clown trash loser scum stupid".split(), "idi0t m0ron cl0wn tr4sh l0ser scvm stoopid".split()
     rng = np.random.default_rng(3)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -42,18 +43,20 @@ def vocabulary_size(idfs: DataFrame) -> Column:
 
 
 def train(
-    weights: DataFrame, labels: DataFrame, vocabulary: Column | int, smoothing: float = fixed.SMOOTHING, doc: str = "doc_id"
+    weights: DataFrame, labels: DataFrame, vocabulary: Column | int, smoothing: float = fixed.SMOOTHING, doc: str = "doc_id",
+    keep: Callable[[DataFrame], DataFrame] = cut,
 ) -> Model:
     """Class priors and term likelihoods of labelled documents; labels are (doc, class). Weights are (doc, term, w), or packed.
 
-    Packed weights of a document meet its classes as one row. The sums, one row per class and term, are written for their uses.
+    Packed weights of a document meet its classes as one row. The sums, one row per class and term, are written by `keep` for their uses.
     """
     vocabulary = F.lit(vocabulary) if isinstance(vocabulary, int) else vocabulary
     if "terms" in weights.columns:
-        met = labels.select(doc, "class").join(weights.select(doc, "terms"), doc).select("class", F.inline("terms"))
+        pairs = weights.select(doc, F.transform("terms", lambda t: F.struct(t["term"], t["w"])).alias("terms"))
+        met = labels.select(doc, "class").join(pairs, doc).select("class", F.inline("terms"))
     else:
         met = labels.select(doc, "class").join(weights.select(doc, "term", "w"), doc)
-    sums = cut(met.groupBy("class", "term").agg(F.sum("w").alias("s")))
+    sums = keep(met.groupBy("class", "term").agg(F.sum("w").alias("s")))
     totals = sums.groupBy("class").agg(F.sum("s").alias("total"))
     counts = labels.groupBy("class").agg(F.count("*").alias("n"))
     documents, kinds = labels.agg(F.count("*")).scalar(), labels.agg(F.countDistinct("class")).scalar()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,14 +75,14 @@ def idf(df: DataFrame, documents: Column) -> DataFrame:
     return df.withColumn("idf", F.ln((documents + 1) / (F.col("df") + 1)))
 
 
-def corpus_idf(docs: DataFrame, terms: Column | None = None) -> DataFrame:
-    """`idf` of a table of documents in one pass over it, written for the several uses that follow.
+def corpus_idf(docs: DataFrame, terms: Column | None = None, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """`idf` of a table of documents in one pass over it, written by `keep` for the several uses that follow.
 
     Documents that have a term are counted along with the terms, as one more term that is null.
     """
     terms = words("text") if terms is None else terms
     marked = let(F.array_distinct(terms), lambda t: F.when(F.size(t) > 0, F.concat(F.array(F.lit(None)), t)))
-    counted = cut(docs.select(F.explode(marked).alias("term")).groupBy("term").agg(F.count("*").alias("df")))
+    counted = keep(docs.select(F.explode(marked).alias("term")).groupBy("term").agg(F.count("*").alias("df")))
     documents = counted.filter(F.col("term").isNull()).agg(F.max("df")).scalar()
     return idf(counted.filter(F.col("term").isNotNull()), documents)
 
@@ -106,12 +106,22 @@ def counted(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarr
     return coded.dictionary.take(pa.array(order)), keys[starts] // width, keys[starts] % width, np.diff(np.r_[starts, len(keys)])
 
 
-def packed_tf_idf(docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, copied: int = COPIED) -> DataFrame:
-    """(doc, terms): the weights of documents (doc, terms) as arrays of (less, term, tf, w) with less = -w, in several rows a document.
+def offsets(of: np.ndarray, rows: int) -> pa.Array:
+    """Where the list of each row begins, then the end; `of` is the row of each element, in order."""
+    return pa.array(np.searchsorted(of, np.arange(rows + 1)).astype(np.int32))
 
-    They hold the `n` heaviest terms of each document and maybe more, without those of weight 0 unless `zeros`: for `packed_heaviest`.
+
+def packed_tf_idf(
+    docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, copied: int = COPIED,
+    keep: Callable[[DataFrame], DataFrame] = cut, wanted: DataFrame | None = None,
+) -> DataFrame:
+    """(doc, terms): the weights of documents (doc, terms) as arrays of (term, tf, w), heaviest first, in one row a document.
+
+    They hold the `n` heaviest terms of each document, without those of weight 0 unless `zeros`; equal weights go by term.
+    `wanted`, a table with the column doc, leaves only its documents.
     The idf of the frequent terms is copied to all tasks, where a row keeps the `n` heaviest of them; its other terms, each
     rarer than one of `copied` frequencies, meet their idf by term. Those rows are a small part and have no hot keys.
+    Frequent terms travel as their places in the copied table, which is at hand again where they meet the rare ones.
     """
     doc = next(c for c in docs.columns if c != "terms")
     total = idfs.agg(F.sum("df")).scalar()
@@ -133,31 +143,52 @@ def packed_tf_idf(docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True,
             kept = kept[np.lexsort((-w[kept], of[kept]))]
             kept = kept[np.arange(len(kept)) - np.searchsorted(of[kept], of[kept]) < n]
             rest = np.flatnonzero(place == len(known))
-            heavy = [pa.array(-w[kept]), terms.take(pa.array(term[kept])), pa.array(tf[kept]), pa.array(w[kept])]
-            rare = [terms.take(pa.array(term[rest])), pa.array(tf[rest])]
-            lists = [
-                pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(of[chosen], np.arange(batch.num_rows + 1)).astype(np.int32)), pa.StructArray.from_arrays(values, names)
-                )
-                for chosen, values, names in ((kept, heavy, ["less", "term", "tf", "w"]), (rest, rare, ["term", "tf"]))
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], [doc, "terms", "rest"])
-
-    element = "struct<less: double, term: string, tf: bigint, w: double>"
-    schema = f"`{doc}` {dict(docs.dtypes)[doc]}, terms array<{element}>, rest array<struct<term: string, tf: bigint>>"
+            begin = offsets(of[kept], batch.num_rows)
+            lists = [pa.ListArray.from_arrays(begin, pa.array(values[kept].astype(np.int32))) for values in (place, tf)]
+            rare = pa.StructArray.from_arrays([terms.take(pa.array(term[rest])), pa.array(tf[rest])], ["term", "tf"])
+            heavy = pa.StructArray.from_arrays(lists, ["places", "tfs"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), heavy, pa.ListArray.from_arrays(offsets(of[rest], batch.num_rows), rare)], [doc, "heavy", "rest"]
+            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, idf = shared.value
+        for batch in batches:
+            places, tfs, rare = (pc.list_flatten(batch.column(i)) for i in (1, 2, 3))
+            place, (rare_term, rare_tf, rare_w) = places.to_numpy(), rare.flatten()
+            of = np.r_[tuple(pc.list_parent_indices(batch.column(i)).to_numpy() for i in (1, 3))]
+            tf = np.r_[tfs.to_numpy().astype(np.int64), rare_tf.to_numpy()]
+            w = np.r_[tf[:len(place)] * idf[place], rare_w.to_numpy()]
+            coded = pa.concat_arrays([known.take(places), rare_term.cast(known.type)]).dictionary_encode()
+            terms, term = coded.dictionary, coded.indices.to_numpy()
+            rank = np.empty(len(terms), np.int64)
+            rank[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+            kept = np.lexsort((tf, rank[term], -w, of))
+            kept = kept[np.arange(len(kept)) - np.searchsorted(of[kept], of[kept]) < n]
+            values = [terms.take(pa.array(term[kept])), pa.array(tf[kept]), pa.array(w[kept])]
+            heaviest = pa.StructArray.from_arrays(values, ["term", "tf", "w"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets(of[kept], batch.num_rows), heaviest)], [doc, "terms"]
+            )
+
+    own = f"`{doc}` {dict(docs.dtypes)[doc]}"
+    heavy, rare = "struct<places: array<int>, tfs: array<int>>", "struct<term: string, tf: bigint, w: double>"
     # Read twice below.
-    met = cut(ship(docs.select(doc, "terms")).mapInArrow(weigh, schema))
-    rare = met.select(doc, F.inline("rest")).join(idfs.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    rare = rare.filter(F.lit(zeros) | (F.col("w") != 0)).withColumn("less", -F.col("w"))
-    gathered = rare.groupBy(doc).agg(F.collect_list(F.struct("less", "term", "tf", "w")).alias("terms"))
-    return met.select(doc, "terms").unionByName(gathered)
+    met = keep(ship(docs.select(doc, "terms")).mapInArrow(weigh, f"{own}, heavy {heavy}, rest array<struct<term: string, tf: bigint>>"))
+    rest = met.select(doc, F.inline("rest")).join(idfs.select("term", "idf"), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    rest = rest.filter(F.lit(zeros) | (F.col("w") != 0)).select(doc, F.lit(None).cast(heavy).alias("heavy"), F.struct("term", "tf", "w").alias("rare"))
+    both = met.select(doc, "heavy", F.lit(None).cast(rare).alias("rare")).unionByName(rest)
+    gathered = both.groupBy(doc).agg(F.collect_list("heavy").alias("heavy"), F.collect_list("rare").alias("rare"))
+    if wanted is not None:
+        gathered = gathered.join(wanted, doc, "left_semi")
+    lists = [F.flatten(F.transform("heavy", lambda h: h[name])).alias(name) for name in ("places", "tfs")]
+    return gathered.select(doc, *lists, "rare").mapInArrow(merge, f"{own}, terms array<{rare}>")
 
 
 def packed_heaviest(weights: DataFrame, n: int) -> DataFrame:
     """(doc, terms): one row per document with its `n` heaviest terms of `packed_tf_idf` in order; equal weights go by term."""
     doc = next(c for c in weights.columns if c != "terms")
-    every = F.sort_array(F.flatten(F.collect_list("terms")))
-    return weights.groupBy(doc).agg(F.slice(every, 1, n).alias("terms"))
+    return weights.select(doc, F.slice("terms", 1, n).alias("terms"))
 
 
 def unpacked(weights: DataFrame) -> DataFrame:
@@ -169,12 +200,15 @@ def unpacked(weights: DataFrame) -> DataFrame:
     return rows.select(doc, "t.term", "t.tf", "t.w", (F.col("at") + 1).alias("rank"))
 
 
-def heaviest_of(docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def heaviest_of(
+    docs: DataFrame, idfs: DataFrame, n: int, zeros: bool = True, doc: str = "doc_id", text: str = "text",
+    keep: Callable[[DataFrame], DataFrame] = cut, wanted: DataFrame | None = None,
+) -> DataFrame:
     """The rows of `heaviest_terms` over the weights of a table of documents, packed: without `zeros` those of `keywords`.
 
     A document is one row on all ways but that of its rare terms.
     """
-    return packed_heaviest(packed_tf_idf(docs.select(doc, words(text).alias("terms")), idfs, n, zeros), n)
+    return packed_heaviest(packed_tf_idf(docs.select(doc, words(text).alias("terms")), idfs, n, zeros, keep=keep, wanted=wanted), n)
 
 
 def corpus_weights(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

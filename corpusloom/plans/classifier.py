@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,11 +28,11 @@ class Report:
 
 def report(
     weights: DataFrame, labels: DataFrame, vocabulary: Column | int, classes_shown: int = 2, doc: str = "doc_id",
-    smoothing: float = fixed.SMOOTHING, share: float = 0.7,
+    smoothing: float = fixed.SMOOTHING, share: float = 0.7, keep: Callable[[DataFrame], DataFrame] = cut,
 ) -> Report:
-    """Train on one part of the documents and test on the other; labels are (doc, class)."""
+    """Train on one part of the documents and test on the other; labels are (doc, class). `keep` writes what is used again."""
     learn = in_training(doc, share)
-    model = train(weights.filter(learn), labels.filter(learn), vocabulary, smoothing, doc)
+    model = train(weights.filter(learn), labels.filter(learn), vocabulary, smoothing, doc, keep)
     tested = labels.filter(~learn)
     scores = class_scores(weights.filter(~learn).join(tested.select(doc).distinct(), doc, "left_semi"), model, doc, tested)
     predictions = predict(scores, doc)

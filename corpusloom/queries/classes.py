@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.operators import classify, tags, weights as w
 from corpusloom.plans.classifier import Report, report
 from corpusloom.queries.terms import TAGS, WEIGHTS, documents, tagged
-from corpusloom.session import cut
+from corpusloom.session import cut, scratch
 
 TOP = 200
 
@@ -95,10 +95,13 @@ def tag_classifier(spark, folder):
     """Best two tags of each test document, learnt from documents with several tags."""
     labels = tags.labelled_docs(tagged(spark, folder), cut(selected(spark, folder)), roots(spark, folder))
     labels = cut(labels.withColumnRenamed("tag", "class"))
-    heaviest, vocabulary = weighed(spark, folder)
-    own = cut(heaviest.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
-    best = report(own, labels, vocabulary).best
-    return best.withColumn("score", F.round("score", 4))
+    docs = documents(spark, folder)
+    with scratch(spark) as keep:
+        idfs = w.corpus_idf(docs, keep=keep)
+        with scratch(spark) as passing:
+            own = keep(w.heaviest_of(docs, idfs, TOP, keep=passing, wanted=labels.select("doc_id").distinct()))
+        best = report(own, labels, classify.vocabulary_size(idfs), keep=keep).best
+        return cut(best.withColumn("score", F.round("score", 4)))
 
 
 SELECTED = f"""{TAGS}, selected AS (SELECT tag, count(*) AS tagcount FROM tagged GROUP BY tag HAVING count(*) >= 10

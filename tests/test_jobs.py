@@ -1,10 +1,15 @@
 """Jobs end to end over a small corpus folder."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.pages import PageRules
 from corpusloom.plans import classifier, ingest, keywords, lexicon, setup
+from corpusloom.queries import classes
+from corpusloom.session import DROPS_SHUFFLES, scratch, shared_dir
 from corpusloom.sources.dictfiles import read_dict_files
 from corpusloom.sources.tables import SCHEMAS, Corpus
 from corpusloom.streaming import counters
@@ -247,3 +252,43 @@ def test_running_totals_go_on_after_a_stop_between_batches(spark, tmp_path, rows
     assert rows(counters.kept_totals(spark, into)) == [("a", 3), ("b", 2), ("c", 2), ("d", 2), ("e", 1)]
     batch = spark.read.schema(schema).parquet(folder).filter("text is not null")
     assert rows(counters.kept_totals(spark, into)) == rows(counters.running_counts(batch))
+
+
+def shared_bytes(spark):
+    return sum(f.stat().st_size for f in Path(shared_dir(spark).removeprefix("file:")).rglob("*") if f.is_file())
+
+
+def test_scratch_tables_and_what_was_shuffled_for_them_are_deleted(spark, rows):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in files.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+    before, size, setting = shuffled(), shared_bytes(spark), spark.conf.get(DROPS_SHUFFLES)
+    with scratch(spark) as keep:
+        kept = keep(spark.range(1000).groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n")))
+        assert rows(kept) == [(0, 334), (1, 333), (2, 333)]
+        assert list(Path(shared_dir(spark).removeprefix("file:")).glob("scratch-*/0/*.parquet"))
+        assert spark.conf.get(DROPS_SHUFFLES) == setting
+        for _ in range(50):  # they are deleted in the background
+            if not shuffled() - before:
+                break
+            time.sleep(0.2)
+        kept.collect()
+        assert not shuffled() - before
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("scratch-*")) and shared_bytes(spark) <= size
+
+
+def test_the_tag_classifier_writes_less_than_it_reads(spark, tmp_path, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: letters[i % 26] + letters[i // 26 % 26] + letters[i // 676 % 26]
+    texts = [
+        (i, " ".join(word((i * 7919 + j * j * 31) % 1500 + i % 3 * 1500) for j in range(200)), "en" if i % 3 else "de", f"src{i % 4}") for i in range(400)
+    ]
+    spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    size, learnt = shared_bytes(spark), []
+    # When training begins, the document frequencies and the weights of the labelled documents lie there.
+    monkeypatch.setattr(classes, "report", lambda *a, **k: (learnt.append(shared_bytes(spark) - size), classifier.report(*a, **k))[1])
+    best = classes.tag_classifier(spark, str(tmp_path))
+    assert learnt[0] < sum(len(text) for _, text, _, _ in texts)
+    assert shared_bytes(spark) - size < learnt[0]
+    top = {r.doc_id: r["class"] for r in best.filter("rank = 1").collect()}
+    assert len(top) > 80 and set(top.values()) <= {"lang=de", "lang=en", "quality=0", "quality=1", *(f"source=src{i}" for i in range(4))}

@@ -468,6 +468,14 @@ def test_packed_weights_are_those_of_long_rows_however_few_terms_are_copied(spar
                 assert rows(weights.unpacked(packed), *columns) == rows(wanted, *columns)
 
 
+def test_weights_of_wanted_documents_are_those_among_all(spark, rows):
+    texts = [(1, "b a c a d Ä"), (2, "a b zz"), (2, "a d d q"), (None, "c c a"), (3, None), (5, "a"), (6, "é z e é")]
+    docs, wanted = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame([(2,), (3,), (6,), (7,)], "doc_id bigint")
+    idfs = weights.corpus_idf(docs)
+    every = weights.heaviest_of(docs, idfs, 3)
+    assert rows(weights.heaviest_of(docs, idfs, 3, wanted=wanted)) == rows(every.filter("doc_id in (2, 3, 6)"))
+
+
 def test_classes_are_learnt_and_scored_alike_from_packed_weights(spark, rows):
     texts = [(i, f"{'ab'[i % 2]} w{i % 5} {'cd'[i % 2]} t{i}") for i in range(40)]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")

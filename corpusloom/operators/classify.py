@@ -71,7 +71,10 @@ def train(
     return Model(classes, terms.select("class", "term", "s", (F.col("base") + F.col("gain")).alias("theta"), "gain"))
 
 
-def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", documents: DataFrame | None = None) -> DataFrame:
+def class_scores(
+    weights: DataFrame, model: Model, doc: str = "doc_id", documents: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(doc, scores): for each document an array of (score, class), the unnormalised log joint of each class.
 
     The documents are those of `documents`, or else those with terms; one without terms scores by the priors alone.
@@ -79,7 +82,8 @@ def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", document
     score = pi + base * W + sum of w * gain over the terms that the class has seen, W the sum of all w of the document.
     Rows meet the model by term. A term brings one vector of its gains, an element for each class in their order, and the
     vectors of a document are summed element by element in one aggregate: a row stays one row however many classes there are.
-    The names of the classes are read by the driver; `tags.tag_slice` bounds them.
+    The names of the classes are read by the driver; `tags.tag_slice` bounds them. `keep` writes the rows, their counts by
+    term and the vectors, so that what was shuffled for them need not lie beside what the join shuffles.
     """
     named = model.classes.select("class").distinct().orderBy("class").collect()
     kind = model.classes.schema["class"].dataType
@@ -88,7 +92,11 @@ def class_scores(weights: DataFrame, model: Model, doc: str = "doc_id", document
     vectors = model.terms.groupBy("term").agg(seen.alias("_seen")).select(
         "term", F.transform(names, lambda c: F.coalesce(F.try_element_at("_seen", c), F.lit(0.0))).alias("gains")
     )
-    met = spread_join(unpacked(weights).select(doc, "term", "w"), vectors, "term", "left")
+    facts, counts = unpacked(weights).select(doc, "term", "w"), None
+    if keep:
+        facts, vectors = keep(facts), keep(vectors)
+        counts = keep(facts.groupBy("term").agg(F.count("*").alias("n")))
+    met = spread_join(facts, vectors, "term", "left", counts)
     parts = [F.sum(F.col("w") * F.coalesce(F.get("gains", F.lit(i)), F.lit(0.0))).alias(f"_part{i}") for i in range(len(named))]
     sums = met.groupBy(doc).agg(F.sum("w").alias("_all"), *parts)
     part = F.array(*[f"_part{i}" for i in range(len(named))]).cast("array<double>")

@@ -28,13 +28,16 @@ class Report:
 
 def report(
     weights: DataFrame, labels: DataFrame, vocabulary: Column | int, classes_shown: int = 2, doc: str = "doc_id",
-    smoothing: float = fixed.SMOOTHING, share: float = 0.7, keep: Callable[[DataFrame], DataFrame] = cut,
+    smoothing: float = fixed.SMOOTHING, share: float = 0.7, keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Report:
-    """Train on one part of the documents and test on the other; labels are (doc, class). `keep` writes what is used again."""
+    """Train on one part of the documents and test on the other; labels are (doc, class).
+
+    `keep` writes the tables on the way, otherwise only the sums of the model are written, by `cut`.
+    """
     learn = in_training(doc, share)
-    model = train(weights.filter(learn), labels.filter(learn), vocabulary, smoothing, doc, keep)
+    model = train(weights.filter(learn), labels.filter(learn), vocabulary, smoothing, doc, keep or cut)
     tested = labels.filter(~learn)
-    scores = class_scores(weights.filter(~learn).join(tested.select(doc).distinct(), doc, "left_semi"), model, doc, tested)
+    scores = class_scores(weights.filter(~learn).join(tested.select(doc).distinct(), doc, "left_semi"), model, doc, tested, keep)
     predictions = predict(scores, doc)
     return Report(
         model,

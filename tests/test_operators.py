@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import words
 from corpusloom.operators import classify, dictpages, filters, graph, ids, joins, lexicon, rankindex, segment, tags, upserts, weights
+from corpusloom.session import scratch
 from corpusloom.sources.state import store, stored
 
 DOCS = [("d1", "apple apple pear"), ("d2", "pear plum"), ("d3", "plum plum plum fig")]
@@ -490,6 +491,22 @@ def test_classes_are_learnt_and_scored_alike_from_packed_weights(spark, rows):
     assert found[0] == found[1]
 
 
+def test_scores_are_alike_when_the_parts_of_their_join_are_written(spark, rows):
+    texts = [(i, f"{'ab'[i % 2]} w{i % 5} {'cd'[i % 2]} t{i}") for i in range(40)] + [(3, "a w1 w1"), (None, "b"), (41, None), (42, "new")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("class")).union(docs.filter("doc_id < 5").selectExpr("doc_id", "7L"))
+    idfs, written = weights.corpus_idf(docs), []
+    packed = weights.heaviest_of(docs, idfs, 3)
+    with scratch(spark) as keep:
+        counted = lambda df: (written.append(df.columns), keep(df))[1]
+        for some in (packed, weights.unpacked(packed)):
+            model = classify.train(some, labels, classify.vocabulary_size(idfs))
+            plain, kept = (classify.score_rows(classify.class_scores(some, model, documents=docs, keep=k)) for k in (None, counted))
+            six = F.round("score", 6).alias("score")
+            assert rows(kept.select("doc_id", "class", six)) == rows(plain.select("doc_id", "class", six))
+    assert written == 2 * [["doc_id", "term", "w"], ["term", "gains"], ["term", "n"]]
+
+
 def test_weights_of_documents_need_neither_a_row_for_each_term_nor_a_window(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "a")], "doc_id bigint, text string")
     text = weights.heaviest_of(docs, weights.corpus_idf(docs), 2)._jdf.queryExecution().executedPlan().toString()
